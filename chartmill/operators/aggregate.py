@@ -80,58 +80,61 @@ def sentinel_share(
 
 
 def exact_quantiles(
-    df: DataFrame, groups: Sequence[str], value: str, probabilities: Sequence[float], accuracy: int = 10_000
+    df: DataFrame, groups: Sequence[str], value: str, probabilities: Sequence[float], accuracy: int = 2_000
 ) -> DataFrame:
     """Exact interpolated quantiles of a few groups, without gathering a group's values in one place.
 
     A sketch with bounded memory first brackets each quantile.  A second pass counts what lies below
-    a bracket and keeps only the distinct values inside it (about a thousandth of the rows) with
+    a bracket and keeps only the distinct values inside it (some thousandths of the rows) with
     their counts; ranks are then resolved among those.  ``groups`` must be few by nature, such as
     columns of a table or steps of a chain: their brackets are broadcast.
     """
     data = df.select(*groups, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
     if not groups:
         data, groups = data.withColumn("_all", F.lit(0)), ["_all"]
+    groups, points = list(groups), [float(p) for p in probabilities]
     margin = 4.0 / accuracy
-    edges = sorted({max(0.0, p - margin) for p in probabilities} | {min(1.0, p + margin) for p in probabilities})
+    low_points, high_points = [max(0.0, p - margin) for p in points], [min(1.0, p + margin) for p in points]
     sketch = data.groupBy(*groups).agg(
         F.count("_v").alias("_total"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", [float(e) for e in edges], accuracy).alias("_edges"),
+        F.percentile_approx("_v", low_points + high_points, accuracy).alias("_edges"),
     )
-
-    def edge(at: float, outside: bool, fallback: str) -> Column:
-        return F.col(fallback) if outside else F.element_at("_edges", edges.index(at) + 1)
-
-    brackets = []
-    for p in probabilities:
-        low, high = max(0.0, p - margin), min(1.0, p + margin)
-        rank = (F.col("_total") - 1) * F.lit(float(p))
-        brackets.append(F.struct(
-            F.lit(float(p)).alias("p"), rank.alias("rank"),
-            edge(low, p - margin <= 0, "_min").alias("low"), edge(high, p + margin >= 1, "_max").alias("high"),
-        ))
-    bands = sketch.select(*groups, F.array(*brackets).alias("_bands"))
-    paired = data.join(F.broadcast(bands), list(groups))
-    relevant = paired.select(
-        *groups, "_v", F.explode(F.filter("_bands", lambda b: F.col("_v") <= b["high"])).alias("_b")
+    lows = [F.col("_min") if low == 0 else F.col("_edges")[i] for i, low in enumerate(low_points)]
+    highs = [F.col("_max") if high == 1 else F.col("_edges")[len(points) + i] for i, high in enumerate(high_points)]
+    brackets = sketch.select(
+        *groups, "_total", *[c.alias(f"_low{i}") for i, c in enumerate(lows)], *[c.alias(f"_high{i}") for i, c in enumerate(highs)]
     )
-    # Everything below a bracket becomes one line (a null value); inside it each distinct value stays.
-    counted = relevant.groupBy(
-        *groups, F.col("_b.p").alias("p"), F.col("_b.rank").alias("_rank"),
-        F.when(F.col("_v") >= F.col("_b.low"), F.col("_v")).alias("_v"),
-    ).agg(F.count(F.lit(1)).alias("_n"))
-    order = Window.partitionBy(*groups, "p").orderBy(F.col("_v").asc_nulls_first())
-    through = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = counted.withColumn("_through", through)
-    covers = lambda r: (F.col("_through") - F.col("_n") <= r) & (r < F.col("_through"))
-    found = ranked.groupBy(*groups, "p", "_rank").agg(
-        F.max(F.when(covers(F.floor("_rank")), F.col("_v"))).alias("_below"),
-        F.max(F.when(covers(F.ceil("_rank")), F.col("_v"))).alias("_above"),
+    v = F.col("_v")
+    inside, floor = F.lit(False), F.lit(None).cast("double")
+    for i in range(len(points)):
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        inside = inside | ((v >= low) & (v <= high))
+        floor = F.greatest(floor, F.when(v > high, high))
+    # A value inside a bracket stays; all values in a gap become one line, placed after the bracket
+    # below them (or first, with a null floor).
+    counted = (
+        data.join(F.broadcast(brackets), groups)
+        .groupBy(*groups, "_total", (~inside).alias("_gap"), F.when(inside, v).otherwise(floor).alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    fraction = F.col("_rank") - F.floor("_rank")
-    result = F.col("_below") + (F.col("_above") - F.col("_below")) * fraction
+    order = Window.partitionBy(*groups).orderBy(F.col("_v").asc_nulls_first(), "_gap")
+    ranked = counted.withColumn("_through", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+
+    def at(rank: Column) -> Column:
+        covers = (F.col("_through") - F.col("_n") <= rank) & (rank < F.col("_through")) & ~F.col("_gap")
+        return F.max(F.when(covers, F.col("_v")))
+
+    measures = []
+    for i, p in enumerate(points):
+        rank = (F.col("_total") - 1) * F.lit(p)
+        measures += [at(F.floor(rank)).alias(f"_below{i}"), at(F.ceil(rank)).alias(f"_above{i}"), F.max(rank - F.floor(rank)).alias(f"_part{i}")]
+    found = ranked.groupBy(*groups).agg(*measures)
+    lines = [
+        F.struct(F.lit(p).alias("p"), (F.col(f"_below{i}") + (F.col(f"_above{i}") - F.col(f"_below{i}")) * F.col(f"_part{i}")).alias("quantile"))
+        for i, p in enumerate(points)
+    ]
     named = [name for name in groups if name != "_all"]
-    return found.select(*named, "p", result.alias("quantile"))
+    return found.select(*named, F.explode(F.array(*lines)).alias("_q")).select(*named, "_q.*")
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -73,30 +73,30 @@ def classify_duplicates(
       and carries the multiplicity of all;
     * one entity (or none known) with different attributes: a real conflict, all kept and flagged.
 
-    "More than one value" is decided by comparing the smallest and the largest, which needs no
-    distinct count.  Keys with a single row are not joined to anything heavy: the per-key facts are
-    reduced to the keys with several rows before they meet the rows again.
+    "More than one value" is decided by comparing the smallest and the largest, over the rows as they
+    come: no distinct count, no window, constant state per key.  Only the keys that turn out to be
+    ambiguous meet the collapsed rows again.
     """
     keys = list(keys)
-    rows = collapse_count(df, [*keys, entity, *attributes])
-    # Attributes and entity compare as tuples: a null field is a value, and nulls sort last.
-    facts = nulls_last(attributes)
-    per_key = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum(COUNT).alias("_total"),
+    facts = F.struct(*attributes)  # compared as a whole, a null field is a value
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_total"),
         F.min(entity).alias("_first_entity"),
         F.max(entity).alias("_last_entity"),
+        F.count(entity).alias("_known"),
         (F.min(facts) != F.max(facts)).alias("_facts_differ"),
-    ).where("_rows > 1")
-    hot = heaviest(per_key, keys, "_rows", hot_rows)
+    )
     several_entities = F.coalesce(F.col("_first_entity") != F.col("_last_entity"), F.lit(False))
-    per_key = per_key.select(
+    some_unknown = (F.col("_known") > 0) & (F.col("_known") < F.col("_total"))
+    ambiguous = per_key.where(several_entities | some_unknown | F.col("_facts_differ")).select(
         *keys, "_total", "_first_entity",
         F.when(several_entities & F.col("_facts_differ"), "collision")
         .when(several_entities, "same")
         .otherwise("conflict").alias("_class"),
     )
-    tagged = join_attributes(rows, per_key, keys, "left", hot)
+    hot = heaviest(per_key, keys, "_total", hot_rows)
+    rows = collapse_count(df, [*keys, entity, *attributes])
+    tagged = join_attributes(rows, ambiguous, keys, "left", hot)
     collapsed = F.col("_class") == "same"
     kept = F.coalesce(~collapsed | (F.col(entity) == F.col("_first_entity")), F.col("_class").isNull())
     return tagged.where(kept).select(
@@ -190,7 +190,7 @@ def duplicate_blocks(
 ) -> DataFrame:
     """Runs of consecutive rows with the same label within a timeline: start, end, length."""
     ts = order[0]
-    marked = timeline.runs(df, keys, label, order, slice_seconds)
+    marked = timeline.runs(df.select(*keys, label, *order), keys, label, order, slice_seconds)
     return marked.groupBy(*keys, "run", label).agg(
         F.min(ts).alias("block_start"), F.max(ts).alias("block_end"), F.count(F.lit(1)).alias("block_length")
     )

@@ -6,16 +6,17 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-# At most this many keys are treated as hot, so the broadcast of their rows is bounded.
+# At most this many keys are treated as hot, so what is broadcast about them is bounded.
 HOT_KEY_LIMIT = 1024
 # A key below this many rows fits one task without trouble.
 HOT_KEY_ROWS = 1_000_000
+# A hot key is spread over this many join keys.
+SALTS = 256
 
 
 def heaviest(counts: DataFrame, keys: Sequence[str], n: str, min_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """The heaviest keys of a key-count frame: at most HOT_KEY_LIMIT rows."""
-    heavy = counts.where((F.col(n) >= min_rows) & F.col(keys[0]).isNotNull())
-    return heavy.orderBy(F.desc(n)).limit(HOT_KEY_LIMIT).select(*keys)
+    return counts.where(F.col(n) >= min_rows).orderBy(F.desc(n)).limit(HOT_KEY_LIMIT).select(*keys)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS) -> DataFrame:
@@ -24,18 +25,27 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS) -
 
 
 def join_attributes(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", hot: DataFrame | None = None
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", hot: DataFrame | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join facts with a lookup that has one row per key (``how``: inner or left).
 
-    Facts of hot keys stay where they are and meet the broadcast lookup rows of those few keys; only
-    the other facts are shuffled.  Without ``hot`` this is a plain join.
+    Facts of a hot key get one of several salts and the lookup row of that key is repeated for each,
+    so the key is joined by many tasks.  The salt mixes the row's content with the number of its
+    input partition: exact copies spread too, and a recomputed task assigns the same salts again.
+    Facts without a key spread in the same way.  Without ``hot`` this is a plain join.
     """
     keys = list(keys)
     if hot is None:
         return facts.join(lookup, keys, how)
-    marked = F.broadcast(hot.select(*keys))
-    hot_rows = facts.join(marked, keys, "left_semi")
-    cold_rows = facts.join(marked, keys, "left_anti")
-    hot_lookup = F.broadcast(lookup.join(marked, keys, "left_semi"))
-    return cold_rows.join(lookup, keys, how).unionByName(hot_rows.join(hot_lookup, keys, how))
+    marks = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
+    spread = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts))
+    keyless = F.lit(False)
+    for key in keys:
+        keyless = keyless | F.col(key).isNull()
+    salted_facts = facts.join(marks, keys, "left").withColumn(
+        "_salt", F.when(F.coalesce("_hot", keyless), spread).otherwise(F.lit(0)).cast("int")
+    )
+    repeats = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salted_lookup = lookup.join(marks, keys, "left").withColumn("_salt", F.explode(repeats)).drop("_hot")
+    return salted_facts.drop("_hot").join(salted_lookup, [*keys, "_salt"], how).drop("_salt")

@@ -84,7 +84,10 @@ def neighbour(
 def runs(
     df: DataFrame, keys: Sequence[str], label: str, order: Sequence[str], slice_seconds: int = DAY
 ) -> DataFrame:
-    """Number the runs of consecutive equal labels within a timeline, from 1 (column ``run``)."""
+    """Number the runs of consecutive equal labels within a timeline, from 1 (column ``run``).
+
+    Pass only the columns needed: rows are shuffled once with all of them.
+    """
     keys = list(keys)
     cut = df.withColumn(SLICE, slice_of(F.col(order[0]), slice_seconds))
     within = Window.partitionBy(*keys, SLICE).orderBy(*_ascending(order))
@@ -108,8 +111,9 @@ def runs(
         .withColumn("_before", F.coalesce(F.sum(F.col("_opens") + F.col("_starts")).over(_earlier(keys)), F.lit(0)))
         .select(*keys, SLICE, (F.col("_before") + F.col("_opens")).alias("_offset"))
     )
+    # An inner join asks the same of both sides, so their common shuffle is done once.
     return (
-        counted.join(carry, [*keys, SLICE], "left")
+        counted.join(carry, [*keys, SLICE])
         .withColumn("run", F.col("_offset") + F.col("_inner"))
         .drop("_start", "_inner", "_offset", SLICE)
     )
