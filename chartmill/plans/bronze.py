@@ -58,13 +58,12 @@ def load_parts(
     stored = store.read_load(spark, layout, table, [load_id]).groupBy(text.SOURCE_FILE).agg(
         F.count(F.lit(1)).alias("ingested_rows")
     )
-    files = spark.createDataFrame([(name,) for name, _ in parts], f"{text.SOURCE_FILE} STRING")
-    lines = text.physical_lines(spark, paths)
+    files = spark.createDataFrame([(name, True) for name, _ in parts], f"{text.SOURCE_FILE} STRING, listed BOOLEAN")
     counted = files
-    for counts in (source, stored, lines):
-        counted = counted.join(counts, text.SOURCE_FILE, "left")
+    for counts in (source, stored, text.physical_lines(spark, paths)):
+        counted = counted.join(counts, text.SOURCE_FILE, "full_outer")
     counted = counted.fillna(0, ["source_rows", "ingested_rows"])
-    match = F.col("source_rows") == F.col("ingested_rows")
+    match = F.coalesce("listed", F.lit(False)) & (F.col("source_rows") == F.col("ingested_rows"))
     entries = counted.select(
         F.lit(table).alias("table"), text.SOURCE_FILE, F.lit(load_id).alias("load_id"),
         F.when(match, "done").otherwise("mismatch").alias("status"),

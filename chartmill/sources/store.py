@@ -13,7 +13,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from chartmill.config import Layout
 from chartmill.schemas import BRONZE, PROVENANCE_DDL, silver_partition, silver_schema
@@ -140,7 +140,7 @@ def read_build(spark: SparkSession, build: Build) -> DataFrame:
     year_of = silver_partition(build.table)
     schema = StructType(list(silver_schema(build.table).fields))
     if year_of:
-        schema = schema.add(year_of[1], "int")
+        schema = schema.add(year_of[1], IntegerType())
     return spark.read.schema(schema).parquet(build.path)
 
 
@@ -163,11 +163,8 @@ def ensure_table(spark: SparkSession, layer: str, table: str, schema: StructType
         wanted = [(f.name, f.dataType.simpleString()) for f in schema.fields]
         have = [(c.name, c.dataType) for c in spark.catalog.listColumns(name) if not c.isPartition]
         have_partition = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-        drift = None
-        if have != wanted:
-            drift = "schema"
-        elif have_partition != ([partition] if partition else []):
-            drift = "partitioning"
+        changed = {"schema": have != wanted, "partitioning": have_partition != ([partition] if partition else [])}
+        drift = ", ".join(what for what, differs in changed.items() if differs)
         if drift:
             log.warning("%s: %s differs from the declared one, recreating", name, drift)
             spark.sql(f"DROP TABLE {name}")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SOURCE_FILE = "_source_file"
 
 
+def file_name() -> Column:
+    """Name of the file a row comes from; the reader reports it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def read_csv_parts(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
     """One or many CSV files with a header as one frame of strings plus the file name.
 
@@ -17,12 +22,12 @@ def read_csv_parts(spark: SparkSession, paths: str | list[str], multi_line: bool
         paths, header=True, inferSchema=False, escape='"', multiLine=multi_line, enforceSchema=False,
         mode="PERMISSIVE",
     )
-    return raw.withColumn(SOURCE_FILE, F.col("_metadata.file_name"))
+    return raw.withColumn(SOURCE_FILE, file_name())
 
 
 def physical_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Lines per file without the header: an independent row count of the source."""
-    lines = spark.read.text(paths).select(F.col("_metadata.file_name").alias(SOURCE_FILE))
+    lines = spark.read.text(paths).select(file_name().alias(SOURCE_FILE))
     return lines.groupBy(SOURCE_FILE).agg((F.count(F.lit(1)) - 1).alias("physical_lines"))
 
 
@@ -30,7 +35,7 @@ def part_stats(spark: SparkSession, paths: str | list[str], multi_line: bool = T
     """Rows and bytes of each part, in the order of the number in the name."""
     files = spark.read.csv(paths, header=True, inferSchema=False, escape='"', multiLine=multi_line)
     per_file = files.select(
-        F.col("_metadata.file_name").alias(SOURCE_FILE), F.col("_metadata.file_size").alias("bytes")
+        file_name().alias(SOURCE_FILE), F.col("_metadata.file_size").alias("bytes")
     )
     return (
         per_file.groupBy(SOURCE_FILE)
@@ -40,9 +45,9 @@ def part_stats(spark: SparkSession, paths: str | list[str], multi_line: bool = T
     )
 
 
-def part_number(file_name):
+def part_number(name: Column) -> Column:
     """All digits of a part's name as one number: part 2 comes before part 10."""
-    return F.regexp_replace(file_name, r"\D", "").try_cast("bigint")
+    return F.regexp_replace(name, r"\D", "").try_cast("bigint")
 
 
 def list_parts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
