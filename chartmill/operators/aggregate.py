@@ -99,8 +99,16 @@ def exact_quantiles(
         F.count("_v").alias("_total"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.percentile_approx("_v", low_points + high_points, accuracy).alias("_edges"),
     )
-    lows = [F.col("_min") if low == 0 else F.col("_edges")[i] for i, low in enumerate(low_points)]
-    highs = [F.col("_max") if high == 1 else F.col("_edges")[len(points) + i] for i, high in enumerate(high_points)]
+    # Neighbouring ranks of a small group lie further apart than the margin: keep all of its values.
+    small = F.col("_total") <= accuracy
+
+    def bracket(edges: Sequence[float], offset: int, limit: float, extreme: str) -> list[Column]:
+        return [
+            F.col(extreme) if at == limit else F.when(small, F.col(extreme)).otherwise(F.col("_edges")[offset + i])
+            for i, at in enumerate(edges)
+        ]
+
+    lows, highs = bracket(low_points, 0, 0.0, "_min"), bracket(high_points, len(points), 1.0, "_max")
     brackets = sketch.select(
         *groups, "_total", *[c.alias(f"_low{i}") for i, c in enumerate(lows)], *[c.alias(f"_high{i}") for i, c in enumerate(highs)]
     )
