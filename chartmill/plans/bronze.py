@@ -53,17 +53,22 @@ def load_parts(
     raw = text.read_csv_parts(spark, paths, spec.multi_line)
     store.write_load(to_bronze(raw, table, rules), layout, table, load_id)
 
-    # Three counts per file: records parsed from the source again, rows now stored, physical lines.
-    source = raw.groupBy(text.SOURCE_FILE).agg(F.count(F.lit(1)).alias("source_rows"))
+    # Per file: records of the source counted apart from the load, rows now stored, physical lines.
+    # Where a record is a line, the line count is the record count and the text is parsed only once.
     stored = store.read_load(spark, layout, table, [load_id]).groupBy(text.SOURCE_FILE).agg(
         F.count(F.lit(1)).alias("ingested_rows")
     )
-    files = spark.createDataFrame([(name, True) for name, _ in parts], f"{text.SOURCE_FILE} STRING, listed BOOLEAN")
-    counted = files
-    for counts in (source, stored, text.physical_lines(spark, paths)):
-        counted = counted.join(counts, text.SOURCE_FILE, "full_outer")
-    counted = counted.fillna(0, ["source_rows", "ingested_rows"])
-    match = F.coalesce("listed", F.lit(False)) & (F.col("source_rows") == F.col("ingested_rows"))
+    listed = spark.createDataFrame([(name, True) for name, _ in parts], f"{text.SOURCE_FILE} STRING, listed BOOLEAN")
+    counts = listed.unionByName(stored, allowMissingColumns=True)
+    counts = counts.unionByName(text.physical_lines(spark, paths), allowMissingColumns=True)
+    if spec.multi_line:
+        counts = counts.unionByName(text.parsed_records(spark, paths, True), allowMissingColumns=True)
+    source_rows = "parsed_records" if spec.multi_line else "filled_lines"
+    counted = counts.groupBy(text.SOURCE_FILE).agg(
+        F.coalesce(F.max("listed"), F.lit(False)).alias("listed"), F.max("physical_lines").alias("physical_lines"),
+        *[F.coalesce(F.max(old), F.lit(0)).alias(new) for old, new in ((source_rows, "source_rows"), ("ingested_rows", "ingested_rows"))],
+    )
+    match = F.col("listed") & (F.col("source_rows") == F.col("ingested_rows"))
     entries = counted.select(
         F.lit(table).alias("table"), text.SOURCE_FILE, F.lit(load_id).alias("load_id"),
         F.when(match, "done").otherwise("mismatch").alias("status"),

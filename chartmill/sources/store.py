@@ -53,11 +53,15 @@ def read_ledger(spark: SparkSession, layout: Layout, name: str, ddl: str) -> Dat
     return spark.read.schema(ddl).parquet(path)
 
 
-def current_loads(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
-    """The latest ledger entry of each source file of a bronze table."""
+def load_history(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    """Ledger entries of a bronze table; ``is_current`` marks the latest one of each source file."""
     entries = read_ledger(spark, layout, "loads", LOADS_DDL).where(F.col("table") == table)
-    newest = Window.partitionBy("_source_file").orderBy(F.desc("finished_at"), F.desc("load_id"))
-    return entries.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
+    newest = Window.partitionBy(SOURCE_FILE).orderBy(F.desc("finished_at"), F.desc("load_id"))
+    return entries.withColumn("is_current", F.row_number().over(newest) == 1)
+
+
+def current_loads(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    return load_history(spark, layout, table).where("is_current").drop("is_current")
 
 
 def ensure_namespaces(spark: SparkSession, layers: tuple[str, ...] = LAYERS) -> None:
@@ -100,13 +104,20 @@ def read_load(spark: SparkSession, layout: Layout, table: str, load_ids: list[st
 def scan_bronze(spark: SparkSession, layout: Layout, table: str, accept: tuple[str, ...] = ("done",)) -> DataFrame:
     """Exactly the rows of the current load of each source file.
 
-    The ledger has one row per source file, so the list of loads read to the driver stays small; the
-    semi join keeps, within those loads, only the files whose current version they are.
+    The ledger (one short row per loaded file) is read to the driver, so that everything becomes a
+    list of folders and a predicate on folder names: no join, and superseded files are never opened.
     """
-    current = current_loads(spark, layout, table).where(F.col("status").isin(list(accept)))
-    load_ids = [row.load_id for row in current.select("load_id").distinct().collect()]
-    wanted = current.select(F.col("load_id").alias("_load"), SOURCE_FILE)
-    rows = read_load(spark, layout, table, load_ids).join(wanted, ["_load", SOURCE_FILE], "left_semi")
+    history = load_history(spark, layout, table).select(
+        "load_id", SOURCE_FILE, (F.col("is_current") & F.col("status").isin(list(accept))).alias("wanted")
+    ).collect()
+    load_ids = sorted({row.load_id for row in history if row.wanted})
+    superseded: dict[str, list[str]] = {}
+    for row in history:
+        if row.load_id in load_ids and not row.wanted:
+            superseded.setdefault(row.load_id, []).append(row[SOURCE_FILE])
+    rows = read_load(spark, layout, table, load_ids)
+    for load_id, files in superseded.items():
+        rows = rows.where(~((F.col("_load") == load_id) & F.col(SOURCE_FILE).isin(files)))
     keep = BRONZE[table].schema.names + ([BRONZE[table].year_of[1]] if BRONZE[table].year_of else [])
     return rows.select(*keep)
 
@@ -144,20 +155,26 @@ def read_build(spark: SparkSession, build: Build) -> DataFrame:
     return spark.read.schema(schema).parquet(build.path)
 
 
+def create_if_absent(spark: SparkSession, name: str, schema: StructType, path: str, partition: str | None = None) -> bool:
+    """Register files as an external table unless the name is taken; the present entry is not examined."""
+    if spark.catalog.tableExists(name):
+        return False
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    folders = ""
+    if partition:
+        fields += f", `{partition}` int"
+        folders = f"PARTITIONED BY (`{partition}`)"
+    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet {folders} LOCATION '{path}'")
+    return True
+
+
 def ensure_table(spark: SparkSession, layer: str, table: str, schema: StructType, path: str, partition: str | None) -> str:
     """Point the catalog at a version; recreate the entry when schema or partitioning changed.
 
     Returns what was done.  Only metadata is touched: the table is external.
     """
     name = f"{layer}.{table}"
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    layout_clause = ""
-    if partition:
-        fields += f", `{partition}` int"
-        layout_clause = f"PARTITIONED BY (`{partition}`)"
-    create = f"CREATE TABLE {name} ({fields}) USING parquet {layout_clause} LOCATION '{path}'"
-    if not spark.catalog.tableExists(name):
-        spark.sql(create)
+    if create_if_absent(spark, name, schema, path, partition):
         action = "created"
     else:
         wanted = [(f.name, f.dataType.simpleString()) for f in schema.fields]
@@ -168,7 +185,7 @@ def ensure_table(spark: SparkSession, layer: str, table: str, schema: StructType
         if drift:
             log.warning("%s: %s differs from the declared one, recreating", name, drift)
             spark.sql(f"DROP TABLE {name}")
-            spark.sql(create)
+            create_if_absent(spark, name, schema, path, partition)
             action = f"recreated: {drift}"
         else:
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")

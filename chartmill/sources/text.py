@@ -26,9 +26,21 @@ def read_csv_parts(spark: SparkSession, paths: str | list[str], multi_line: bool
 
 
 def physical_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Lines per file without the header: an independent row count of the source."""
-    lines = spark.read.text(paths).select(file_name().alias(SOURCE_FILE))
-    return lines.groupBy(SOURCE_FILE).agg((F.count(F.lit(1)) - 1).alias("physical_lines"))
+    """Lines per file without the header, and those that are not blank.
+
+    This reads the files as plain lines and so is independent of the CSV reader.  Where no record
+    spans lines, the lines that are not blank are the records.
+    """
+    lines = spark.read.text(paths).select(file_name().alias(SOURCE_FILE), (F.length(F.trim("value")) > 0).alias("_filled"))
+    return lines.groupBy(SOURCE_FILE).agg(
+        (F.count(F.lit(1)) - 1).alias("physical_lines"), (F.count_if("_filled") - 1).alias("filled_lines")
+    )
+
+
+def parsed_records(spark: SparkSession, paths: str | list[str], multi_line: bool) -> DataFrame:
+    """Records per file as the CSV reader sees them."""
+    records = read_csv_parts(spark, paths, multi_line).select(SOURCE_FILE)
+    return records.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("parsed_records"))
 
 
 def part_stats(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
