@@ -110,9 +110,9 @@ def repeat_event(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice
 def history_features(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_seconds: int = 366 * timeline.DAY) -> DataFrame:
     """Number of earlier events of the entity and days since the last one."""
     ts = order[0]
-    numbered = timeline.position(df, keys, order, "_position", slice_seconds)
-    back = timeline.neighbour(numbered, keys, order, [ts], "_previous", slice_seconds=slice_seconds)
-    return back.withColumn("prior_events", F.col("_position") - 1).withColumn(
+    steps = {"_position": timeline.position_step(keys, order), "_previous": timeline.neighbour_step(keys, order, [ts])}
+    timed = timeline.extend(df, keys, ts, steps, slice_seconds)
+    return timed.withColumn("prior_events", F.col("_position") - 1).withColumn(
         "days_since_previous", days_between(F.col(f"_previous.{ts}"), F.col(ts))
     ).drop("_position", "_previous")
 

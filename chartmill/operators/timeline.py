@@ -10,7 +10,8 @@ Contract: the entity columns are not null.  Rows without a time come last, in a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -44,12 +45,6 @@ def _sort_key(order: Sequence[str]) -> Column:
     return F.struct(*parts)
 
 
-def _carry(df: DataFrame, keys: Sequence[str], summaries: dict[str, Column], across: dict[str, Column]) -> DataFrame:
-    """One row per (entity, slice): summaries of the slice, then values computed over the slices."""
-    per_slice = df.groupBy(*keys, SLICE).agg(*[agg.alias(name) for name, agg in summaries.items()])
-    return per_slice.select(*keys, SLICE, *[value.alias(name) for name, value in across.items()])
-
-
 def _slices(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(SLICE)
 
@@ -58,29 +53,111 @@ def _earlier(keys: Sequence[str]):
     return _slices(keys).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def neighbour(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[str], name: str,
-    following: bool = False, slice_seconds: int = DAY,
-) -> DataFrame:
-    """Add a struct with columns of the previous (or following) row of the timeline."""
+@dataclass(frozen=True)
+class Step:
+    """One value to add to every row of a timeline.
+
+    ``within`` is computed over the rows of the slice, ``summary`` reduces a slice to one value,
+    ``across`` is computed over the summaries (a column named like the step), and ``combine`` joins
+    what the slice and the other slices say.
+    """
+
+    within: Column
+    summary: Column
+    across: Callable[[str], Column]
+    combine: Callable[[Column, Column], Column]
+
+
+def extend(df: DataFrame, keys: Sequence[str], ts: str, steps: dict[str, Step], slice_seconds: int) -> DataFrame:
+    """Add the given steps in one pass: one shuffle of the rows and one of the slice summaries."""
     keys = list(keys)
-    cut = df.withColumn(SLICE, slice_of(F.col(order[0]), slice_seconds))
-    ordering = _descending(order) if following else _ascending(order)
-    within = Window.partitionBy(*keys, SLICE).orderBy(*ordering)
+    cut = df.withColumn(SLICE, slice_of(F.col(ts), slice_seconds))
+    per_slice = cut.groupBy(*keys, SLICE).agg(*[step.summary.alias(f"_s_{name}") for name, step in steps.items()])
+    carried = per_slice.select(*keys, SLICE, *[step.across(f"_s_{name}").alias(f"_c_{name}") for name, step in steps.items()])
+    rows = cut.withColumns({f"_w_{name}": step.within for name, step in steps.items()})
+    joined = rows.join(carried, [*keys, SLICE], "left")
+    combined = {name: step.combine(F.col(f"_w_{name}"), F.col(f"_c_{name}")) for name, step in steps.items()}
+    return joined.withColumns(combined).drop(SLICE, *[f"_w_{name}" for name in steps], *[f"_c_{name}" for name in steps])
+
+
+def _in_slice(keys: Sequence[str], ordering: Sequence[Column]):
+    return Window.partitionBy(*keys, SLICE).orderBy(*ordering)
+
+
+def neighbour_step(keys: Sequence[str], order: Sequence[str], take: Sequence[str], following: bool = False) -> Step:
+    """A struct with columns of the previous (or following) row."""
     value = F.struct(*take)
-    pick = F.min_by if following else F.max_by
+    edge = F.min_by if following else F.max_by
     over_slices = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc() if following else F.col(SLICE).asc())
-    carry = _carry(
-        cut, keys, {"_edge": pick(value, _sort_key(order))}, {"_carried": F.lag("_edge").over(over_slices)}
+    return Step(
+        within=F.lag(value).over(_in_slice(keys, _descending(order) if following else _ascending(order))),
+        summary=edge(value, _sort_key(order)),
+        across=lambda edges: F.lag(edges).over(over_slices),
+        combine=F.coalesce,
     )
-    return (
-        cut.withColumn("_near", F.lag(value).over(within))
-        .join(carry, [*keys, SLICE], "left")
-        .withColumn(name, F.coalesce("_near", "_carried"))
-        .drop("_near", "_carried", SLICE)
+
+
+def position_step(keys: Sequence[str], order: Sequence[str]) -> Step:
+    """Number of the row, from 1."""
+    return Step(
+        within=F.row_number().over(_in_slice(keys, _ascending(order))),
+        summary=F.count(F.lit(1)),
+        across=lambda counts: F.coalesce(F.sum(counts).over(_earlier(keys)), F.lit(0)),
+        combine=lambda inner, before: inner + before,
     )
 
 
+def last_known_step(keys: Sequence[str], order: Sequence[str], value: str) -> Step:
+    """The latest non-null value at or before the row."""
+    so_far = _in_slice(keys, _ascending(order)).rowsBetween(Window.unboundedPreceding, 0)
+    return Step(
+        within=F.last(value, ignorenulls=True).over(so_far),
+        summary=F.max_by(value, F.when(F.col(value).isNotNull(), _sort_key(order))),
+        across=lambda edges: F.last(edges, ignorenulls=True).over(_earlier(keys)),
+        combine=F.coalesce,
+    )
+
+
+def next_time_step(keys: Sequence[str], ts: str, when: Column) -> Step:
+    """The first strictly later moment at which a condition holds.
+
+    The running frame goes backwards in time: Spark recomputes a frame that is open to the end for
+    every row, but extends one that is open to the start.
+    """
+    moment = F.when(when, F.col(ts))
+    later = _in_slice(keys, [epoch_micros(F.col(ts)).desc()]).rangeBetween(Window.unboundedPreceding, -1)
+    backwards = Window.partitionBy(*keys).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    return Step(
+        within=F.min(moment).over(later),
+        summary=F.min(moment),
+        across=lambda firsts: F.min(firsts).over(backwards),
+        combine=F.coalesce,
+    )
+
+
+def neighbour(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[str], name: str,
+    following: bool = False, slice_seconds: int = DAY,
+) -> DataFrame:
+    return extend(df, keys, order[0], {name: neighbour_step(keys, order, take, following)}, slice_seconds)
+
+
+def position(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position", slice_seconds: int = DAY
+) -> DataFrame:
+    return extend(df, keys, order[0], {name: position_step(keys, order)}, slice_seconds)
+
+
+def last_known(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, slice_seconds: int = DAY
+) -> DataFrame:
+    return extend(df, keys, order[0], {name: last_known_step(keys, order, value)}, slice_seconds)
+
+
+def next_time(df: DataFrame, keys: Sequence[str], ts: str, when: Column, name: str, slice_seconds: int = DAY) -> DataFrame:
+    return extend(df, keys, ts, {name: next_time_step(keys, ts, when)}, slice_seconds)
+
+
 def runs(
     df: DataFrame, keys: Sequence[str], label: str, order: Sequence[str], slice_seconds: int = DAY
 ) -> DataFrame:
@@ -117,60 +194,3 @@ def runs(
         .withColumn("run", F.col("_offset") + F.col("_inner"))
         .drop("_start", "_inner", "_offset", SLICE)
     )
-
-
-def position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position", slice_seconds: int = DAY) -> DataFrame:
-    """Number the rows of each timeline from 1."""
-    keys = list(keys)
-    cut = df.withColumn(SLICE, slice_of(F.col(order[0]), slice_seconds))
-    within = Window.partitionBy(*keys, SLICE).orderBy(*_ascending(order))
-    carry = _carry(
-        cut, keys, {"_n": F.count(F.lit(1))}, {"_offset": F.coalesce(F.sum("_n").over(_earlier(keys)), F.lit(0))}
-    )
-    return (
-        cut.withColumn("_inner", F.row_number().over(within))
-        .join(carry, [*keys, SLICE], "left")
-        .withColumn(name, F.col("_offset") + F.col("_inner"))
-        .drop("_inner", "_offset", SLICE)
-    )
-
-
-def last_known(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, slice_seconds: int = DAY
-) -> DataFrame:
-    """Add the latest non-null value at or before each row of the timeline."""
-    keys = list(keys)
-    cut = df.withColumn(SLICE, slice_of(F.col(order[0]), slice_seconds))
-    within = Window.partitionBy(*keys, SLICE).orderBy(*_ascending(order)).rowsBetween(Window.unboundedPreceding, 0)
-    edge = F.max_by(value, F.when(F.col(value).isNotNull(), _sort_key(order)))
-    carry = _carry(
-        cut, keys, {"_edge": edge}, {"_carried": F.last("_edge", ignorenulls=True).over(_earlier(keys))}
-    )
-    return (
-        cut.withColumn("_near", F.last(value, ignorenulls=True).over(within))
-        .join(carry, [*keys, SLICE], "left")
-        .withColumn(name, F.coalesce("_near", "_carried"))
-        .drop("_near", "_carried", SLICE)
-    )
-
-
-def next_time(
-    df: DataFrame, keys: Sequence[str], ts: str, when: Column, name: str, slice_seconds: int = DAY
-) -> DataFrame:
-    """Add the first strictly later moment at which a condition holds.
-
-    The running frame goes backwards in time: Spark recomputes a frame that is open to the end for
-    every row, but extends one that is open to the start.
-    """
-    keys = list(keys)
-    cut = df.withColumn(SLICE, slice_of(F.col(ts), slice_seconds)).withColumn("_at", F.when(when, F.col(ts)))
-    micros = epoch_micros(F.col(ts))
-    later = Window.partitionBy(*keys, SLICE).orderBy(micros.desc()).rangeBetween(Window.unboundedPreceding, -1)
-    backwards = Window.partitionBy(*keys).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
-    carry = _carry(cut, keys, {"_first": F.min("_at")}, {"_carried": F.min("_first").over(backwards)})
-    return (
-        cut.withColumn("_near", F.min("_at").over(later))
-        .join(carry, [*keys, SLICE], "left")
-        .withColumn(name, F.coalesce("_near", "_carried"))
-        .drop("_near", "_carried", "_at", SLICE)
-    )

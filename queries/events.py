@@ -97,11 +97,8 @@ def exposure_actions(read, spark):
 
 
 @query("case_duration", f"""WITH {_PIVOT}
-    SELECT user_id, CAST(day AS STRING) AS day, round((epoch_us(purchase) - epoch_us(signup)) / 60000000.0, 6) AS whole_minutes,
-           round((epoch_us(click) - epoch_us(view)) / 60000000.0, 6) AS browse_minutes FROM p""")
+    SELECT user_id, CAST(day AS STRING) AS day, (epoch_us(purchase) - epoch_us(signup)) / CAST(60000000 AS DOUBLE) AS whole_minutes,
+           (epoch_us(click) - epoch_us(view)) / CAST(60000000 AS DOUBLE) AS browse_minutes FROM p""")
 def case_duration(read, spark):
     timed = ev.case_duration(_pivot(read), {"whole": ("signup", "purchase"), "browse": ("view", "click")})
-    return timed.select(
-        "user_id", F.col("day").cast("string").alias("day"), F.round("whole_minutes", 6).alias("whole_minutes"),
-        F.round("browse_minutes", 6).alias("browse_minutes"),
-    )
+    return timed.select("user_id", F.col("day").cast("string").alias("day"), "whole_minutes", "browse_minutes")
