@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chartmill.functions import columns as C
+from chartmill.operators.skew import hot_keys, join_attributes
+
+# Brackets of at most this many groups are collected and broadcast.
+MAX_BROADCAST_GROUPS = 10_000
 
 
 def totals(df: DataFrame, measures: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
@@ -82,12 +86,11 @@ def sentinel_share(
 def exact_quantiles(
     df: DataFrame, groups: Sequence[str], value: str, probabilities: Sequence[float], accuracy: int = 2_000
 ) -> DataFrame:
-    """Exact interpolated quantiles of a few groups, without gathering a group's values in one place.
+    """Exact interpolated quantiles per group, without gathering a group's values in one place.
 
     A sketch with bounded memory first brackets each quantile.  A second pass counts what lies below
     a bracket and keeps only the distinct values inside it (some thousandths of the rows) with
-    their counts; ranks are then resolved among those.  ``groups`` must be few by nature, such as
-    columns of a table or steps of a chain: their brackets are broadcast.
+    their counts; ranks are then resolved among those.
     """
     data = df.select(*groups, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
     if not groups:
@@ -120,8 +123,14 @@ def exact_quantiles(
         floor = F.greatest(floor, F.when(v > high, high))
     # A value inside a bracket stays; all values in a gap become one line, placed after the bracket
     # below them (or first, with a null floor).
+    # Few groups, the usual case, are broadcast; the number is checked, and many groups are joined.
+    known = brackets.limit(MAX_BROADCAST_GROUPS + 1).collect()
+    if len(known) <= MAX_BROADCAST_GROUPS:
+        located = data.join(F.broadcast(data.sparkSession.createDataFrame(known, brackets.schema)), groups)
+    else:
+        located = join_attributes(data, brackets, groups, "inner", hot_keys(data, groups))
     counted = (
-        data.join(F.broadcast(brackets), groups)
+        located
         .groupBy(*groups, "_total", (~inside).alias("_gap"), F.when(inside, v).otherwise(floor).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )

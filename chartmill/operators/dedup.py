@@ -186,11 +186,11 @@ def duplication_by_category(df: DataFrame, keys: Sequence[str], category: str) -
 
 
 def duplicate_blocks(
-    df: DataFrame, keys: Sequence[str], label: str, order: Sequence[str], slice_seconds: int = timeline.DAY
+    df: DataFrame, keys: Sequence[str], label: str, order: Sequence[str], **cutting
 ) -> DataFrame:
     """Runs of consecutive rows with the same label within a timeline: start, end, length."""
     ts = order[0]
-    marked = timeline.runs(df.select(*keys, label, *order), keys, label, order, slice_seconds)
+    marked = timeline.runs(df.select(*keys, label, *order), keys, label, order, **cutting)
     return marked.groupBy(*keys, "run", label).agg(
         F.min(ts).alias("block_start"), F.max(ts).alias("block_end"), F.count(F.lit(1)).alias("block_length")
     )

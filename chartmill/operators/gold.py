@@ -83,7 +83,7 @@ def rise_label(
 
 def threshold_breach_ahead(
     series: DataFrame, keys: Sequence[str], ts: str, value: str, limit: float, horizon_seconds: int,
-    below: bool = True, slice_seconds: int = timeline.DAY,
+    below: bool = True, **cutting,
 ) -> DataFrame:
     """For each reading: does a later reading within the horizon cross the limit?
 
@@ -91,27 +91,27 @@ def threshold_breach_ahead(
     replaces a window over all readings ahead.
     """
     crossing = F.col(value) < limit if below else F.col(value) > limit
-    ahead = timeline.next_time(series, keys, ts, crossing, "next_breach", slice_seconds)
+    ahead = timeline.next_time(series, keys, ts, crossing, "next_breach", **cutting)
     gap = epoch_micros(F.col("next_breach")) - epoch_micros(F.col(ts))
     within = gap <= F.lit(horizon_seconds * 1_000_000)
     return ahead.withColumn("breach_ahead", F.coalesce(within, F.lit(False)))
 
 
-def repeat_event(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_seconds: int = 366 * timeline.DAY) -> DataFrame:
+def repeat_event(df: DataFrame, keys: Sequence[str], order: Sequence[str], **cutting) -> DataFrame:
     """Does the entity return, and after how many days?"""
     ts = order[0]
-    ahead = timeline.neighbour(df, keys, order, [ts], "_next", following=True, slice_seconds=slice_seconds)
+    ahead = timeline.neighbour(df, keys, order, [ts], "_next", following=True, **cutting)
     next_ts = F.col(f"_next.{ts}")
     return ahead.withColumn("returns", next_ts.isNotNull()).withColumn(
         "days_to_next", days_between(F.col(ts), next_ts)
     ).drop("_next")
 
 
-def history_features(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_seconds: int = 366 * timeline.DAY) -> DataFrame:
+def history_features(df: DataFrame, keys: Sequence[str], order: Sequence[str], **cutting) -> DataFrame:
     """Number of earlier events of the entity and days since the last one."""
     ts = order[0]
     steps = {"_position": timeline.position_step(keys, order), "_previous": timeline.neighbour_step(keys, order, [ts])}
-    timed = timeline.extend(df, keys, ts, steps, slice_seconds)
+    timed = timeline.extend(df, keys, ts, steps, **cutting)
     return timed.withColumn("prior_events", F.col("_position") - 1).withColumn(
         "days_since_previous", days_between(F.col(f"_previous.{ts}"), F.col(ts))
     ).drop("_position", "_previous")

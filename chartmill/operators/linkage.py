@@ -148,7 +148,7 @@ def attach_attributes(
 
 def as_of(
     refs: DataFrame, series: DataFrame, keys: Sequence[str], ref_time: str, ts: str, value: str, name: str,
-    strictly_before: bool = True, slice_seconds: int = timeline.DAY,
+    strictly_before: bool = True, **cutting,
 ) -> DataFrame:
     """For each reference row the last measure before (or at) its time.
 
@@ -167,7 +167,7 @@ def as_of(
         F.lit(None).cast(left.schema["_row"].dataType).alias("_row"),
     )
     merged = left.unionByName(right)
-    known = timeline.last_known(merged, keys, ["_t", "_side", "_value"], "_value", "_asof", slice_seconds)
+    known = timeline.last_known(merged, keys, ["_t", "_side", "_value"], "_value", "_asof", **cutting)
     return known.where(F.col("_row").isNotNull()).select(
         "_row.*", F.when(F.col("_t").isNotNull(), F.col("_asof")).alias(name)
     )

@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-# At most this many keys are treated as hot, so what is broadcast about them is bounded.
-HOT_KEY_LIMIT = 1024
-# A key below this many rows fits one task without trouble.
+# Keys treated as hot are at most this many, so what is broadcast about them stays within megabytes.
+# A key that is not among them holds at most this fraction (one in so many) of all rows.
+HOT_KEY_LIMIT = 100_000
+# A key below this many rows fits one task without trouble; a hot key is split into parts of this size.
 HOT_KEY_ROWS = 1_000_000
-# A hot key is spread over this many join keys.
-SALTS = 256
+
+PARTS = "_parts"
 
 
 def heaviest(counts: DataFrame, keys: Sequence[str], n: str, min_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """The heaviest keys of a key-count frame: at most HOT_KEY_LIMIT rows."""
-    return counts.where(F.col(n) >= min_rows).orderBy(F.desc(n)).limit(HOT_KEY_LIMIT).select(*keys)
+    """The heaviest keys of a key-count frame, and into how many parts each should be split."""
+    heavy = counts.where(F.col(n) > min_rows).orderBy(F.desc(n)).limit(HOT_KEY_LIMIT)
+    return heavy.select(*keys, F.ceil(F.col(n) / min_rows).cast("int").alias(PARTS))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS) -> DataFrame:
@@ -24,28 +28,28 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS) -
     return heaviest(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), keys, "_n", min_rows)
 
 
+def any_null(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(key).isNull() for key in keys])
+
+
 def join_attributes(
-    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", hot: DataFrame | None = None,
-    salts: int = SALTS,
+    facts: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", hot: DataFrame | None = None
 ) -> DataFrame:
     """Join facts with a lookup that has one row per key (``how``: inner or left).
 
-    Facts of a hot key get one of several salts and the lookup row of that key is repeated for each,
-    so the key is joined by many tasks.  The salt mixes the row's content with the number of its
-    input partition: exact copies spread too, and a recomputed task assigns the same salts again.
-    Facts without a key spread in the same way.  Without ``hot`` this is a plain join.
+    Facts of a hot key get one of several salts, in proportion to their number, and the lookup row of
+    that key is repeated for each, so the key is joined by many tasks.  The salt mixes the row's
+    content with the number of its input partition: exact copies spread too, and a recomputed task
+    assigns the same salts again.  Facts without a key spread in the same way.  Without ``hot`` this
+    is a plain join.
     """
     keys = list(keys)
     if hot is None:
         return facts.join(lookup, keys, how)
-    marks = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(salts))
-    keyless = F.lit(False)
-    for key in keys:
-        keyless = keyless | F.col(key).isNull()
-    salted_facts = facts.join(marks, keys, "left").withColumn(
-        "_salt", F.when(F.coalesce("_hot", keyless), spread).otherwise(F.lit(0)).cast("int")
-    )
-    repeats = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_lookup = lookup.join(marks, keys, "left").withColumn("_salt", F.explode(repeats)).drop("_hot")
-    return salted_facts.drop("_hot").join(salted_lookup, [*keys, "_salt"], how).drop("_salt")
+    marks = F.broadcast(hot.select(*keys, PARTS))
+    spread = F.xxhash64(*facts.columns) + F.spark_partition_id()
+    parts = F.when(any_null(keys), F.lit(1024)).otherwise(F.coalesce(PARTS, F.lit(1)))
+    salted_facts = facts.join(marks, keys, "left").withColumn("_salt", F.pmod(spread, parts).cast("int")).drop(PARTS)
+    repeats = F.sequence(F.lit(0), F.coalesce(PARTS, F.lit(1)) - 1)
+    salted_lookup = lookup.join(marks, keys, "left").withColumn("_salt", F.explode(repeats)).drop(PARTS)
+    return salted_facts.join(salted_lookup, [*keys, "_salt"], how).drop("_salt")

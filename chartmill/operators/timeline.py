@@ -1,11 +1,13 @@
-"""Order-dependent steps over long timelines, split by time.
+"""Order-dependent steps over long timelines, split by time where needed.
 
-A window over one entity sorts all of its rows in one task.  Here each timeline is cut into time
-slices; a window runs within (entity, slice), each slice is reduced to one summary row, and what a
-slice needs from the others is computed over the summaries and joined back.  An entity with a very
-large share of the rows is therefore spread over as many tasks as it has slices.
+A window over one entity sorts all of its rows in one task, which is fine until one entity holds a
+large share of the rows.  Entities above a row limit are therefore cut into time slices: a window
+runs within (entity, slice), each slice is reduced to one summary row, and what a slice needs from
+the others is computed over the summaries and joined back.  All other entities stay in one piece and
+have nothing to carry.
 
-Contract: the entity columns are not null.  Rows without a time come last, in a slice of their own.
+Rows without a time come last, in a slice of their own.  Rows without an entity belong to no
+timeline: they are cut by time like a hot entity, and each slice stands alone.
 """
 
 from __future__ import annotations
@@ -16,11 +18,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chartmill.functions.columns import epoch_micros
+from chartmill.operators.skew import HOT_KEY_ROWS, PARTS, any_null, hot_keys
 
 HOUR = 3_600
 DAY = 24 * HOUR
 
 SLICE = "_slice"
+HOT = "_hot"
 _NO_TIME = 2**62
 
 
@@ -68,13 +72,25 @@ class Step:
     combine: Callable[[Column, Column], Column]
 
 
-def extend(df: DataFrame, keys: Sequence[str], ts: str, steps: dict[str, Step], slice_seconds: int) -> DataFrame:
-    """Add the given steps in one pass: one shuffle of the rows and one of the slice summaries."""
+def _cut(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: int, hot_rows: int) -> DataFrame:
+    """Number the slice of each row: by time for hot entities, one slice for any other."""
+    marks = F.broadcast(hot_keys(df, keys, hot_rows).withColumn(HOT, F.lit(True)).drop(PARTS))
+    by_time = F.coalesce(HOT, any_null(keys))
+    return df.join(marks, list(keys), "left").withColumn(
+        SLICE, F.when(by_time, slice_of(F.col(ts), slice_seconds)).otherwise(F.lit(0))
+    )
+
+
+def extend(
+    df: DataFrame, keys: Sequence[str], ts: str, steps: dict[str, Step], slice_seconds: int = HOUR,
+    hot_rows: int = HOT_KEY_ROWS,
+) -> DataFrame:
+    """Add the given steps in one pass: one shuffle of the rows, and small ones for hot entities."""
     keys = list(keys)
-    cut = df.withColumn(SLICE, slice_of(F.col(ts), slice_seconds))
-    per_slice = cut.groupBy(*keys, SLICE).agg(*[step.summary.alias(f"_s_{name}") for name, step in steps.items()])
+    cut = _cut(df, keys, ts, slice_seconds, hot_rows)
+    per_slice = cut.where(HOT).groupBy(*keys, SLICE).agg(*[step.summary.alias(f"_s_{name}") for name, step in steps.items()])
     carried = per_slice.select(*keys, SLICE, *[step.across(f"_s_{name}").alias(f"_c_{name}") for name, step in steps.items()])
-    rows = cut.withColumns({f"_w_{name}": step.within for name, step in steps.items()})
+    rows = cut.drop(HOT).withColumns({f"_w_{name}": step.within for name, step in steps.items()})
     joined = rows.join(carried, [*keys, SLICE], "left")
     combined = {name: step.combine(F.col(f"_w_{name}"), F.col(f"_c_{name}")) for name, step in steps.items()}
     return joined.withColumns(combined).drop(SLICE, *[f"_w_{name}" for name in steps], *[f"_c_{name}" for name in steps])
@@ -102,8 +118,8 @@ def position_step(keys: Sequence[str], order: Sequence[str]) -> Step:
     return Step(
         within=F.row_number().over(_in_slice(keys, _ascending(order))),
         summary=F.count(F.lit(1)),
-        across=lambda counts: F.coalesce(F.sum(counts).over(_earlier(keys)), F.lit(0)),
-        combine=lambda inner, before: inner + before,
+        across=lambda counts: F.sum(counts).over(_earlier(keys)),
+        combine=lambda inner, before: inner + F.coalesce(before, F.lit(0).cast("bigint")),
     )
 
 
@@ -137,60 +153,48 @@ def next_time_step(keys: Sequence[str], ts: str, when: Column) -> Step:
 
 def neighbour(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[str], name: str,
-    following: bool = False, slice_seconds: int = DAY,
+    following: bool = False, **cutting,
 ) -> DataFrame:
-    return extend(df, keys, order[0], {name: neighbour_step(keys, order, take, following)}, slice_seconds)
+    return extend(df, keys, order[0], {name: neighbour_step(keys, order, take, following)}, **cutting)
 
 
 def position(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position", slice_seconds: int = DAY
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position", **cutting
 ) -> DataFrame:
-    return extend(df, keys, order[0], {name: position_step(keys, order)}, slice_seconds)
+    return extend(df, keys, order[0], {name: position_step(keys, order)}, **cutting)
 
 
 def last_known(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, slice_seconds: int = DAY
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, **cutting
 ) -> DataFrame:
-    return extend(df, keys, order[0], {name: last_known_step(keys, order, value)}, slice_seconds)
+    return extend(df, keys, order[0], {name: last_known_step(keys, order, value)}, **cutting)
 
 
-def next_time(df: DataFrame, keys: Sequence[str], ts: str, when: Column, name: str, slice_seconds: int = DAY) -> DataFrame:
-    return extend(df, keys, ts, {name: next_time_step(keys, ts, when)}, slice_seconds)
+def next_time(df: DataFrame, keys: Sequence[str], ts: str, when: Column, name: str, **cutting) -> DataFrame:
+    return extend(df, keys, ts, {name: next_time_step(keys, ts, when)}, **cutting)
 
 
 def runs(
-    df: DataFrame, keys: Sequence[str], label: str, order: Sequence[str], slice_seconds: int = DAY
+    df: DataFrame, keys: Sequence[str], label: str, order: Sequence[str], slice_seconds: int = HOUR,
+    hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Number the runs of consecutive equal labels within a timeline, from 1 (column ``run``).
-
-    Pass only the columns needed: rows are shuffled once with all of them.
-    """
+    """Number the runs of consecutive equal labels within a timeline, from 1 (column ``run``)."""
     keys = list(keys)
-    cut = df.withColumn(SLICE, slice_of(F.col(order[0]), slice_seconds))
-    within = Window.partitionBy(*keys, SLICE).orderBy(*_ascending(order))
-    first_in_slice = F.row_number().over(within) == 1
+    cut = _cut(df, keys, order[0], slice_seconds, hot_rows)
+    within = _in_slice(keys, _ascending(order))
     # A row starts a run when its label differs from the row before; the first row of a slice is
     # compared with the last row of the slice before it.
-    stepped = cut.withColumn(
-        "_start", F.when(first_in_slice, F.lit(0)).otherwise((~F.col(label).eqNullSafe(F.lag(label).over(within))).cast("int"))
-    )
-    counted = stepped.withColumn(
-        "_inner", F.sum("_start").over(within.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    edges = counted.groupBy(*keys, SLICE).agg(
+    changed = (~F.col(label).eqNullSafe(F.lag(label).over(within))).cast("bigint")
+    stepped = cut.withColumn("_start", F.when(F.row_number().over(within) > 1, changed).otherwise(F.lit(0)))
+    counted = stepped.withColumn("_inner", F.sum("_start").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    edges = counted.where(HOT).groupBy(*keys, SLICE).agg(
         F.min_by(F.struct(label), _sort_key(order)).alias("_head"),
         F.max_by(F.struct(label), _sort_key(order)).alias("_tail"),
         F.max("_inner").alias("_starts"),
     )
-    opens = (~F.col("_head").eqNullSafe(F.lag("_tail").over(_slices(keys)))).cast("int")
-    carry = (
-        edges.withColumn("_opens", opens)
-        .withColumn("_before", F.coalesce(F.sum(F.col("_opens") + F.col("_starts")).over(_earlier(keys)), F.lit(0)))
-        .select(*keys, SLICE, (F.col("_before") + F.col("_opens")).alias("_offset"))
-    )
-    # An inner join asks the same of both sides, so their common shuffle is done once.
-    return (
-        counted.join(carry, [*keys, SLICE])
-        .withColumn("run", F.col("_offset") + F.col("_inner"))
-        .drop("_start", "_inner", "_offset", SLICE)
-    )
+    opens = (~F.col("_head").eqNullSafe(F.lag("_tail").over(_slices(keys)))).cast("bigint")
+    before = F.coalesce(F.sum(F.col("_opens") + F.col("_starts")).over(_earlier(keys)), F.lit(0))
+    carried = edges.withColumn("_opens", opens).select(*keys, SLICE, (before + F.col("_opens")).alias("_offset"))
+    joined = counted.join(carried, [*keys, SLICE], "left")
+    number = F.coalesce("_offset", F.lit(1).cast("bigint")) + F.col("_inner")
+    return joined.withColumn("run", number).drop(HOT, SLICE, "_start", "_inner", "_offset")

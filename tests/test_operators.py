@@ -183,17 +183,19 @@ def ordered(rows, entity):
     return sorted((r for r in rows if r[0] == entity), key=lambda r: (r[1] is None, r[1] or T0, r[2]))
 
 
-@pytest.mark.parametrize("seconds", [60, 3600, 10 * timeline.DAY])
-def test_timeline_steps_match_brute_force(spark, seconds):
-    rows = random_timeline(seconds)
+@pytest.mark.parametrize("seconds, hot_rows", [(60, 1), (3600, 65), (3600, 1_000_000)])
+def test_timeline_steps_match_brute_force(spark, seconds, hot_rows):
+    """All entities cut, some of them, none."""
+    rows = random_timeline(seconds) + [(None, at(5), 1000 + i, "a", i) for i in range(3)]
+    cutting = {"slice_seconds": seconds, "hot_rows": hot_rows}
     df = spark.createDataFrame(rows, "e int, ts timestamp_ntz, id int, label string, v int").repartition(5)
     order = ["ts", "id"]
-    previous = {r.id: r.p.id if r.p else None for r in timeline.neighbour(df, ["e"], order, ["id"], "p", slice_seconds=seconds).collect()}
-    following = {r.id: r.p.id if r.p else None for r in timeline.neighbour(df, ["e"], order, ["id"], "p", True, seconds).collect()}
-    numbers = {r.id: r.position for r in timeline.position(df, ["e"], order, slice_seconds=seconds).collect()}
-    known = {r.id: r.k for r in timeline.last_known(df, ["e"], order, "v", "k", seconds).collect()}
-    runs = {r.id: r.run for r in timeline.runs(df, ["e"], "label", order, seconds).collect()}
-    upcoming = {r.id: r.n for r in timeline.next_time(df, ["e"], "ts", F.col("label") == "a", "n", seconds).collect()}
+    previous = {r.id: r.p.id if r.p else None for r in timeline.neighbour(df, ["e"], order, ["id"], "p", **cutting).collect()}
+    following = {r.id: r.p.id if r.p else None for r in timeline.neighbour(df, ["e"], order, ["id"], "p", True, **cutting).collect()}
+    numbers = {r.id: r.position for r in timeline.position(df, ["e"], order, **cutting).collect()}
+    known = {r.id: r.k for r in timeline.last_known(df, ["e"], order, "v", "k", **cutting).collect()}
+    runs = {r.id: r.run for r in timeline.runs(df, ["e"], "label", order, **cutting).collect()}
+    upcoming = {r.id: r.n for r in timeline.next_time(df, ["e"], "ts", F.col("label") == "a", "n", **cutting).collect()}
     assert len(previous) == len(numbers) == len(runs) == len(upcoming) == len(rows)
     for entity in range(3):
         line = ordered(rows, entity)
@@ -218,7 +220,7 @@ def test_as_of(spark, strict):
     series = [(rng.randrange(2), at(rng.randrange(300)), float(rng.randrange(9))) for _ in range(80)]
     got = {r.id: r.found for r in linkage.as_of(
         spark.createDataFrame(refs, "id int, e int, t timestamp_ntz"), spark.createDataFrame(series, "e int, ts timestamp_ntz, v double"),
-        ["e"], "t", "ts", "v", "found", strict, 3600).collect()}
+        ["e"], "t", "ts", "v", "found", strict, slice_seconds=3600, hot_rows=10).collect()}
     assert len(got) == 40
     for i, e, t in refs:
         past = [(ts, v) for se, ts, v in series if se == e and (ts < t or (not strict and ts == t))]
@@ -246,7 +248,7 @@ def test_hot_key_join_equals_plain_join(spark, how):
     lookup = spark.createDataFrame([(1, "one"), (2, "two"), (9, "nine")], "k int, name string")
     hot = skew.hot_keys(facts, ["k"], min_rows=10)
     plain = Counter(tuple(r) for r in skew.join_attributes(facts, lookup, ["k"], how).select("k", "v", "name").collect())
-    salted = skew.join_attributes(facts, lookup, ["k"], how, hot, salts=8)
+    salted = skew.join_attributes(facts, lookup, ["k"], how, hot)
     assert Counter(tuple(r) for r in salted.select("k", "v", "name").collect()) == plain
     assert [r.k for r in hot.collect()] == [1]
 
@@ -257,7 +259,7 @@ def test_hot_key_is_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = skew.join_attributes(facts, lookup, ["k"], "left", skew.hot_keys(facts, ["k"], 10), salts=64)
+        joined = skew.join_attributes(facts, lookup, ["k"], "left", skew.hot_keys(facts, ["k"], 100))
         counts = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -303,10 +305,18 @@ def test_exact_quantiles(spark, seed):
     df = spark.createDataFrame([(float(x),) for x in data] + [(None,)], "v double").repartition(4)
     points = [0.0, 0.01, 0.25, 0.5, 0.501, 0.9, 1.0]
     got = {r.p: r.quantile for r in aggregate.exact_quantiles(df, [], "v", points, accuracy=200).collect()}
+    assert len(got) == len(points)
     for p in points:
         assert got[p] == pytest.approx(np.quantile(data, p), rel=1e-12, abs=1e-12)
 
 
+def test_quantiles_of_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(aggregate, "MAX_BROADCAST_GROUPS", 2)
+    df = spark.range(100).select((F.col("id") % 5).alias("g"), F.col("id").cast("double").alias("v"))
+    got = {r.g: r.quantile for r in aggregate.exact_quantiles(df, ["g"], "v", [0.5]).collect()}
+    assert got == {g: 47.5 + g for g in range(5)}
+
+
 def test_histogram_matches_numpy(spark):
     data = [float(x) for x in np.random.default_rng(1).integers(0, 1000, 500)] + [0.0, 1000.0]
     df = spark.createDataFrame([(x,) for x in data] + [(None,)], "v double")
