@@ -62,7 +62,8 @@ def subset_copy(facts: DataFrame, pairs: DataFrame, entity: str, fact: Sequence[
     known = facts.select(entity, *fact).distinct()
     size = known.groupBy(entity).agg(F.count(F.lit(1)).alias("_size"))
     pairs = pairs.select(a, b).distinct()
-    of_a = pairs.join(known.withColumnRenamed(entity, a), a)
+    known_a = known.withColumnRenamed(entity, a)
+    of_a = join_attributes(known_a, pairs, [a], "inner", hot_keys(known_a, [a]))
     in_b = known.withColumnRenamed(entity, b).withColumn("_shared", F.lit(1))
     on = [of_a[b] == in_b[b]] + [of_a[name].eqNullSafe(in_b[name]) for name in fact]
     matched = of_a.join(in_b, on, "left").select(of_a[a], of_a[b], "_shared")

@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Times carry no zone, so epoch arithmetic must run in UTC.  The adaptive settings split skewed join
-# partitions and merge tiny ones at run time.  Shuffle parallelism is left to the cluster.
+# partitions and merge tiny ones at run time.  Writing year folders keeps one open file per folder and
+# task instead of sorting the rows first.  Shuffle parallelism is left to the cluster.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.sql.parquet.compression.codec": "zstd",
 }
 

@@ -9,7 +9,9 @@ SOURCE_FILE = "_source_file"
 
 def file_name() -> Column:
     """Name of the file a row comes from; the reader reports it percent-encoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    name = F.col("_metadata.file_name")
+    decoded = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.when(name.contains("%"), decoded).otherwise(name)
 
 
 def read_csv_parts(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
@@ -31,7 +33,7 @@ def physical_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     This reads the files as plain lines and so is independent of the CSV reader.  Where no record
     spans lines, the lines that are not blank are the records.
     """
-    lines = spark.read.text(paths).select(file_name().alias(SOURCE_FILE), (F.length(F.trim("value")) > 0).alias("_filled"))
+    lines = spark.read.text(paths).select(file_name().alias(SOURCE_FILE), (F.trim("value") != "").alias("_filled"))
     return lines.groupBy(SOURCE_FILE).agg(
         (F.count(F.lit(1)) - 1).alias("physical_lines"), (F.count_if("_filled") - 1).alias("filled_lines")
     )

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chartmill.session import configure
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -15,6 +17,7 @@ def query(name: str, sql: str | None = None):
 
     def register(function):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            configure(spark)
             return function(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"), spark)
 
         run.__name__ = name
@@ -25,7 +28,3 @@ def query(name: str, sql: str | None = None):
         return function
 
     return register
-
-
-def columns_of(*names: str) -> str:
-    return ", ".join(names)

@@ -145,9 +145,10 @@ def flag_pattern(read, spark):
 
 
 @query("null_out", """
-    SELECT r_regionkey, CASE WHEN r_name NOT IN ('ASIA', 'EUROPE') THEN r_name END AS r_name FROM region""")
+    SELECT c_custkey, CASE WHEN c_mktsegment NOT IN ('MACHINERY', 'FURNITURE') THEN c_acctbal END AS c_acctbal FROM customer""")
 def null_out(read, spark):
-    return read("region").select("r_regionkey", C.null_out(F.col("r_name"), F.col("r_name"), ["ASIA", "EUROPE"]).alias("r_name"))
+    balance = C.null_out(F.col("c_acctbal"), F.col("c_mktsegment"), ["MACHINERY", "FURNITURE"])
+    return read("customer").select("c_custkey", balance.alias("c_acctbal"))
 
 
 @query("null_sentinel", """
@@ -202,11 +203,14 @@ def classify_code(read, spark):
 
 
 @query("drop_rows", """
-    SELECT * FROM nation WHERE NOT ((n_regionkey = 0 AND n_name = 'NATION_0') OR (n_regionkey = 1 AND n_name = 'NATION_1')
-      OR (n_regionkey = 3 AND n_name = 'NATION_1'))""")
+    SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
+    WHERE NOT ((o_orderstatus = 'F' AND o_orderpriority = '5-LOW') OR (o_orderstatus = 'O' AND o_orderpriority = '1-URGENT')
+      OR (o_orderstatus = 'P' AND o_orderpriority = 'none'))""")
 def drop_rows(read, spark):
     """The last listed pair does not exist and removes nothing."""
-    return clean.drop_rows(read("nation"), [(0, "NATION_0"), (1, "NATION_1"), (3, "NATION_1")], ["n_regionkey", "n_name"])
+    listed = [("F", "5-LOW"), ("O", "1-URGENT"), ("P", "none")]
+    orders = read("orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    return clean.drop_rows(orders, listed, ["o_orderstatus", "o_orderpriority"])
 
 
 @query("drop_rows_by_table", """
