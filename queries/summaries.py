@@ -131,7 +131,7 @@ def profile(read, spark):
 
 
 @query("mixed_type_check", """
-    SELECT event_type, count(*) AS n_numeric, count(*) AS n_text, 0 AS n_null FROM events GROUP BY event_type""")
+    SELECT event_type, count(*) AS n_numeric, count(*) AS n_text, CAST(0 AS BIGINT) AS n_null FROM events GROUP BY event_type""")
 def mixed_type_check(read, spark):
     events = read("events")
     mixed = events.select("event_type", F.col("value").cast("string").alias("v")).unionByName(events.select("event_type", F.col("props").alias("v")))
