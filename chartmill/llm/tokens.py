@@ -20,8 +20,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-# Words kept per task; the memory is started anew beyond it, which costs time and changes nothing.
-WORD_MEMORY = 800_000
+# Words a worker keeps; beyond it long ones, or all, are forgotten, which costs time and changes nothing.
+WORD_MEMORY = 400_000
+OFTEN = 8
 # Texts whose new words are learned together.
 TOGETHER = 500
 # Fixed value: the split pattern of the vocabulary file, its classes spelled out for Latin-1.
@@ -85,7 +86,6 @@ class Vocabulary:
             if text and (self.made_at[i] < 0 or self.merge(self.symbols(text, ends)) == [i]):
                 (self.final if ends else self.inner)[text] = i
         self.longest = max(map(len, [*self.inner, *self.final]))
-        self.compatible: dict[tuple[int, int], bool] = {}
         self.words: dict[str, bytes] = {}
 
     def symbols(self, word: str, ends: bool = True) -> list[int]:
@@ -169,20 +169,19 @@ class Vocabulary:
 
     def learn(self, words: list[str]) -> None:
         """Encode words not met before."""
-        letters = self.letters
+        letters, met = self.letters, self.words
         spelled = ["".join([letters[b] for b in w.encode()]) for w in words]
         guesses = [self.guess(w) for w in spelled]
-        new = [p for p in {p for g in guesses for p in zip(g, g[1:])} if p not in self.compatible]
-        if new:
-            tested = np.array(new, np.int64)
-            self.compatible.update(zip(new, self.pairs_compatible(tested[:, 0], tested[:, 1]).tolist()))
-        fits = self.compatible
-        for word, letters_of, tokens in zip(words, spelled, guesses):
-            for pair in zip(tokens, tokens[1:]):
-                if not fits[pair]:
-                    tokens = self.merge(self.symbols(letters_of))
-                    break
-            self.words[word] = array("I", tokens).tobytes()
+        sizes = np.array([len(g) for g in guesses])
+        tokens = np.array([t for g in guesses for t in g], np.int64)
+        word = np.repeat(np.arange(len(words)), sizes)
+        inside = np.flatnonzero(word[1:] == word[:-1])
+        pairs, back = np.unique(tokens[inside] * len(self.names) + tokens[inside + 1], return_inverse=True)
+        fits = self.pairs_compatible(*np.divmod(pairs, len(self.names)))[back]
+        wrong = np.zeros(len(words), bool)
+        wrong[word[inside[~fits]]] = True
+        for w, spelling, guess, failed in zip(words, spelled, guesses, wrong.tolist()):
+            met[w] = array("I", self.merge(self.symbols(spelling)) if failed else guess).tobytes()
 
     def split(self, text: str) -> list[str]:
         """Words of the normalized text, lower case and free of white space."""
@@ -195,9 +194,10 @@ class Vocabulary:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers; new words are learned together."""
-        if len(self.words) > WORD_MEMORY:
-            self.words.clear()
-            self.compatible.clear()
+        if len(self.words) > WORD_MEMORY:  # long words are the least likely to be met again
+            self.words = {w: x for w, x in self.words.items() if len(w) <= OFTEN}
+            if len(self.words) > WORD_MEMORY // 2:
+                self.words = {}
         parts = [self.parts(text) for text in texts]
         met = self.words
         new = {w for text in parts for words in text if isinstance(words, list) for w in words if w not in met}
