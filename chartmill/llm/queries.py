@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chartmill.llm import tokens
+from chartmill.llm import language, maxscore, neighbours, secrets, tokens
 from chartmill.llm.base import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -21,3 +21,58 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.expr("length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
     )
+
+
+@query("op3_language")
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles = language.fit(docs.where(~language.held_out("doc_id")))
+    rows = docs.select("doc_id", "text", language.held_out("doc_id").alias("held_out"))
+    return language.predict(rows, profiles).select(
+        "doc_id", "held_out", F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score")
+    )
+
+
+@query("op4_secrets")
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find(docs, keep_text=False)
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(secrets.digest(base), 256).alias("base_sha256"), secrets.digest(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op8_neighbours")
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
+
+
+# Scores of all pairs of a query and another row, as the contract defines them.
+OP10_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as e
+  from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+), s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
+  from v q join v c on c.vec_id <> q.vec_id and len(c.e) = len(q.e)
+  where q.vec_id % 50 = 0
+)
+select query_id, rank::integer as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+where rank <= 5
+"""
+
+
+@query("op10_maxscore", OP10_SQL)
+def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return maxscore.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
