@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chartmill.llm import language, maxscore, neighbours, secrets, tokens
+from chartmill.llm import html, language, licences, maxscore, mixing, neardup, neighbours, repeats, secrets, tokens
 from chartmill.llm.base import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -13,6 +13,17 @@ __all__ = ["ORACLE", "QUERIES"]
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+@query("op1_near_duplicates")
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op2_html")
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -48,6 +59,43 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op5_licences")
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: a folder per source, within it folders by thousands and by fifties of ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    name = F.concat(F.col("doc_id"), F.lit(".txt"))
+    path = F.concat("source", F.lit("/"), F.expr("doc_id div 1000"), F.lit("/"), F.expr("doc_id div 50"), F.lit("/"), name)
+    found = licences.detect(docs.withColumn("path", path))
+    return found.select("doc_id", "path", "licence", "score", "origin", "origin_dir")
+
+
+@query("op6_repeats")
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = repeats.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0))
+    return left.select(
+        "doc_id", n_bytes.cast("long").alias("n_bytes"), (n_bytes - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+# English counts twice among the languages; everything else has the same weight as its siblings.
+LEVELS = ["domain", "lang", "source"]
+WEIGHTS = {"lang": {"en": 2.0}}
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """Sources fall into four domains by their checksum."""
+    return docs.withColumn("domain", F.concat(F.lit("domain"), F.crc32(F.col("source").cast("binary")) % 4))
+
+
+@query("op7_mixing")
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    mixed = mixing.mix(docs, LEVELS, WEIGHTS, share=0.5, max_epochs=2, seed=7)
+    return mixed.select("doc_id", *LEVELS, "epoch", mixing.words("text").alias("n_tokens"))
+
+
 @query("op8_neighbours")
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
