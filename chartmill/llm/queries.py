@@ -27,7 +27,7 @@ def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_bpe")
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = tokens.decode(tokens.encode(docs, VOCABULARY), VOCABULARY)
+    coded = tokens.encode(docs, VOCABULARY, decoded="decoded")
     return coded.select(
         "doc_id", F.expr("length(ids) div 4").cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"),
@@ -105,10 +105,10 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Scores of all pairs of a query and another row, as the contract defines them.
 OP10_SQL = """
 with v as (
-  select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as e
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e
   from embeddings
   where embedding is not null and len(embedding) > 0
-    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), s as (
   select q.vec_id as query_id, c.vec_id, list_inner_product(q.e, c.e)::bigint as score
   from v q join v c on c.vec_id <> q.vec_id and len(c.e) = len(q.e)

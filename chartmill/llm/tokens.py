@@ -18,7 +18,8 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 # Words a worker keeps; beyond it long ones, or all, are forgotten, which costs time and changes nothing.
 WORD_MEMORY = 400_000
@@ -233,22 +234,32 @@ def vocabulary(path: str) -> Vocabulary:
     return _loaded[path]
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
     """Add ``out``: the token ids of ``text``, packed as little-endian unsigned 32-bit integers.
 
+    With ``decoded``, also add a column of that name with the text the ids decode to, in the same pass.
     ``path`` names the vocabulary file on every executor.  All other columns pass unchanged.  A null
-    text gives an empty value; an empty table gives an empty table.
+    text gives an empty value; an empty table gives an empty table.  Rows are handed on a few hundred
+    at a time, so a task holds one batch of input and little more.
     """
+    new = [out] if decoded is None else [out, decoded]
+    rest = docs.drop(*[c for c in new if c != text])
+    schema = T.StructType([*rest.schema.fields, T.StructField(out, T.BinaryType())])
+    if decoded is not None:
+        schema = schema.add(decoded, T.StringType())
 
-    @F.pandas_udf("binary")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(path)
         for batch in batches:
-            texts = [t if isinstance(t, str) else "" for t in batch]
-            ids = [x for at in range(0, len(texts), TOGETHER) for x in words.encode(texts[at : at + TOGETHER])]
-            yield pd.Series(ids, dtype=object)
-
-    return docs.withColumn(out, ids(F.col(text)))
+            for at in range(0, len(batch), TOGETHER):
+                rows = batch.slice(at, TOGETHER)
+                ids = words.encode([t or "" for t in rows.column(text).to_pylist()])
+                columns = [*rows.columns, pa.array(ids, pa.binary())]
+                if decoded is not None:
+                    columns.append(pa.array([words.decode(x) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, *new])
+
+    return rest.mapInArrow(coded, schema)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

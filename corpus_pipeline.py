@@ -40,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, and the text they decode to."""
-    coded = tokens.decode(tokens.encode(docs, VOCABULARY), VOCABULARY)
+    coded = tokens.encode(docs, VOCABULARY, decoded="decoded")
     return coded.select("doc_id", "lang", "source", F.expr("length(ids) div 4").alias("n_tokens"), "ids", "decoded")
 
 
