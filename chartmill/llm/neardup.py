@@ -225,7 +225,8 @@ def units(pairs: DataFrame, largest: int) -> DataFrame:
 
 
 def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: int = UNIT) -> tuple[DataFrame, DataFrame]:
-    """Two tables: every row's _id, text _hash, n (set size) and node; and node, component_id of all nodes."""
+    """Two tables: every row's _id, text _hash, n (set size) and node; and of all nodes the node,
+    component (its smallest node) and component_id."""
     rows = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
     base = written(rows.mapInArrow(_sketch, f"_id {kind}, _hash long, n long, node long, sig binary"), "sketches")
@@ -244,7 +245,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest:
     joined = components(found)
     member = nodes.select("node", "label").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = member.groupBy("component").agg(F.min("label").alias("component_id"))
-    return base.drop("sig"), member.join(least, "component").select("node", "component_id")
+    return base.drop("sig"), member.join(least, "component").select("node", "component", "component_id")
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: int = UNIT) -> DataFrame:
@@ -262,10 +263,10 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", larges
     """The rows of ``docs`` without near copies: of each group the smallest id stays, one row of it."""
     base, member = groups(docs, doc_id, text, largest)
     decided = base.join(member, "node", "left").where(F.col("node").isNull() | F.col("_id").eqNullSafe(F.col("component_id")))
-    decided = decided.select("_id", "_hash", "node", "component_id").distinct()
+    decided = decided.select("_id", "_hash", F.col("node").alias("_node"), F.col("component").alias("_component")).distinct()
     rows = docs.withColumn("_text_hash", F.xxhash64(text))
     joined = rows.join(decided, rows[doc_id].eqNullSafe(decided["_id"]) & (rows["_text_hash"] == decided["_hash"]))
     # Rows without a word are linked with nothing, so each stays; of others that share an id, one does.
-    place = F.row_number().over(Window.partitionBy(doc_id, "component_id", F.col("node").isNull()).orderBy("_text_hash"))
-    chosen = joined.withColumn("_place", place).where("node is null or _place = 1")
+    place = F.row_number().over(Window.partitionBy(doc_id, "_component", F.col("_node").isNull()).orderBy("_text_hash"))
+    chosen = joined.withColumn("_place", place).where("_node is null or _place = 1")
     return chosen.select(*[F.col(f"`{c}`") for c in docs.columns])
