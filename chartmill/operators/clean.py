@@ -9,9 +9,6 @@ from pyspark.sql.types import StructType
 
 from chartmill.functions import columns as C
 
-# A list of keys in configuration is small by nature; this bound makes that a checked fact.
-MAX_LISTED_KEYS = 10_000
-
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(names))
@@ -104,12 +101,10 @@ def drop_rows(df: DataFrame, keys: Sequence[tuple], columns: Sequence[str]) -> D
     """Remove rows named by a compound key; a null in the key matches nothing."""
     if not keys:
         return df
-    if len(keys) > MAX_LISTED_KEYS:
-        raise ValueError(f"{len(keys)} listed keys; use an anti join against a table instead")
     kinds = dict(df.dtypes)
     ddl = ", ".join(f"`{name}` {kinds[name]}" for name in columns)
     listed = df.sparkSession.createDataFrame(list(keys), ddl)
-    return df.join(F.broadcast(listed), list(columns), "left_anti")
+    return df.join(listed, list(columns), "left_anti")
 
 
 def constant_columns(df: DataFrame) -> list[str]:

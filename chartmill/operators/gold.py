@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chartmill.functions.columns import days_between, epoch_micros
 from chartmill.operators import timeline
 from chartmill.operators.linkage import interval_join
-from chartmill.operators.skew import HOT_KEY_ROWS, hot_keys, join_attributes
+from chartmill.operators.skew import join_attributes, join_null_safe
 
 # The generic reporting flag among the complication elements, and the useful context.
 GENERIC_COMPLICATION = "AN AQI POST-OP COMPLICATIONS"
@@ -40,45 +40,52 @@ def composite_label(encounters: DataFrame, facts: DataFrame, key: str, classes:
 
 
 def before_cutoff(
-    facts: DataFrame, cutoffs: DataFrame, key: str, ts: str, cutoff: str, hot_rows: int = HOT_KEY_ROWS
+    facts: DataFrame, cutoffs: DataFrame, key: str, ts: str, cutoff: str, hot: DataFrame | None = None
 ) -> DataFrame:
-    """Only facts strictly before the cut-off of their entity, so features cannot see the outcome."""
-    lookup = cutoffs.select(key, cutoff)
-    joined = join_attributes(facts, lookup, [key], "inner", hot_keys(facts, [key], hot_rows))
+    """Only facts strictly before a cut-off of their entity, so features cannot see the outcome.
+
+    A fact comes once for each distinct cut-off it precedes.
+    """
+    lookup = cutoffs.select(key, cutoff).distinct()
+    joined = join_attributes(facts, lookup, [key], "inner", hot)
     return joined.where(F.col(ts) < F.col(cutoff))
 
 
 def leakage_window(
     facts: DataFrame, cutoffs: DataFrame, key: str, ts: str, cutoff: str, measures: dict[str, Column],
-    hot_rows: int = HOT_KEY_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Aggregates per entity over the facts before its cut-off; entities without facts keep nulls."""
-    kept = before_cutoff(facts, cutoffs, key, ts, cutoff, hot_rows)
-    features = kept.groupBy(key).agg(*[value.alias(name) for name, value in measures.items()])
-    return cutoffs.select(key, cutoff).join(features, key, "left")
+    """Aggregates per cut-off over the entity's facts before it; cut-offs without facts keep nulls.
+
+    An entity with several cut-offs has features for each, from the facts before that one alone.
+    """
+    kept = before_cutoff(facts, cutoffs, key, ts, cutoff, hot)
+    features = kept.groupBy(key, cutoff).agg(*[value.alias(name) for name, value in measures.items()])
+    return cutoffs.select(key, cutoff).join(features, [key, cutoff], "left")
 
 
 def rise_label(
     series: DataFrame, encounters: DataFrame, key: str, ts: str, value: str, start: str, stop: str,
-    window_seconds: int, absolute: float, relative: float, hot_rows: int = HOT_KEY_ROWS,
+    window_seconds: int, absolute: float, relative: float, hot: DataFrame | None = None,
 ) -> DataFrame:
     """Does a measure rise after a procedure against the last value before it?
 
     Baseline: the latest value before ``start`` (the larger of ties).  Peak: the largest value within
-    the window after ``stop``.  The label is null when either is missing.
+    the window after ``stop``.  The label is null when either is missing.  Each procedure of an entity
+    is judged by its own times: the result has the key, ``start``, ``stop`` and what was found.
     """
-    lookup = encounters.select(key, start, stop)
+    lookup = encounters.select(key, start, stop).distinct()
     usable = series.where(F.col(value).isNotNull())
-    joined = join_attributes(usable, lookup, [key], "inner", hot_keys(usable, [key], hot_rows))
+    joined = join_attributes(usable, lookup, [key], "inner", hot)
     before = F.col(ts) < F.col(start)
     micros = epoch_micros(F.col(ts)) - epoch_micros(F.col(stop))
     after = (micros > 0) & (micros <= F.lit(window_seconds * 1_000_000))
-    found = joined.where(before | after).groupBy(key).agg(
+    found = joined.where(before | after).groupBy(key, start, stop).agg(
         F.max_by(value, F.when(before, F.struct(ts, value))).alias("baseline"),
         F.max(F.when(after, F.col(value))).alias("peak"),
     )
     risen = (F.col("peak") - F.col("baseline") >= absolute) | (F.col("peak") >= F.col("baseline") * F.lit(relative))
-    return encounters.select(key).join(found, key, "left").withColumn("risen", risen)
+    return join_null_safe(encounters.select(key, start, stop), found, [key, start, stop]).withColumn("risen", risen)
 
 
 def threshold_breach_ahead(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from chartmill.functions.columns import flag_pattern
 from chartmill.operators import timeline
-from chartmill.operators.skew import HOT_KEY_ROWS, hot_keys, join_attributes
+from chartmill.operators.skew import any_null, hot_keys, join_attributes
 
 
 def _key_counts(df: DataFrame, key: str, name: str = "n") -> DataFrame:
@@ -79,14 +79,18 @@ def subset_copy(facts: DataFrame, pairs: DataFrame, entity: str, fact: Sequence[
     )
 
 
-def magnitude_bucket(value: Column, digits: Column) -> Column:
-    """A number as ``<mantissa of so many digits>e<exponent>``, rounded half up."""
-    exponent = F.floor(F.log10(value) + F.lit(1e-12))
-    mantissa = F.round(value / F.pow(F.lit(10.0), exponent - digits + 1), 0).cast("bigint")
-    carried = mantissa >= F.pow(F.lit(10.0), digits)
-    mantissa = F.when(carried, F.floor(mantissa / 10)).otherwise(mantissa)
-    exponent = F.when(carried, exponent + 1).otherwise(exponent)
-    return F.when(value > 0, F.concat_ws("e", mantissa.cast("string"), exponent.cast("string")))
+def magnitude_bucket(number: Column, digits: Column) -> Column:
+    """A whole number's digits as ``<mantissa of so many digits>e<exponent>``, rounded half up.
+
+    Worked out on the text, so that ids beyond the precision of a double keep every digit.
+    """
+    text = F.regexp_replace(number, "^0+", "")
+    kept = F.rpad(F.substring(text, F.lit(1), digits), digits, F.lit("0")).cast("decimal(38,0)")
+    upwards = F.coalesce(F.substring(text, digits + 1, F.lit(1)) >= "5", F.lit(False))
+    mantissa = F.when(upwards, kept + 1).otherwise(kept).cast("string")
+    carried = F.length(mantissa) > digits
+    exponent = F.length(text) - F.when(carried, 0).otherwise(1)
+    return F.when(text != "", F.concat_ws("e", F.substring(mantissa, F.lit(1), digits), exponent.cast("string")))
 
 
 def mangled_bucket(text: Column) -> Column:
@@ -96,22 +100,24 @@ def mangled_bucket(text: Column) -> Column:
     return F.concat_ws("e", mantissa, exponent.cast("string"))
 
 
-def repair_ids(df: DataFrame, column: str, lookup: DataFrame, full_id: str, max_digits: int = 7) -> DataFrame:
+def repair_ids(df: DataFrame, column: str, lookup: DataFrame, full_id: str) -> DataFrame:
     """Replace ids mangled into scientific notation by full decimal ids, only where one full id fits.
 
-    Each full id is entered once per number of mantissa digits a mangled form may have, and the
-    lookup is reduced to one row per such bucket before the join.  A bucket with several full ids is
+    Each full id is entered once per number of mantissa digits up to the most any mangled form has, and
+    the lookup is reduced to one row per such bucket before the join.  A bucket with several full ids is
     ambiguous and never used, because a false merge of two entities leaves no trace.
     """
     full = lookup.where(F.col(full_id).rlike(r"^[0-9]+$")).select(F.col(full_id).alias("_id")).distinct()
-    rendered = full.withColumn("_digits", F.explode(F.sequence(F.lit(1), F.lit(max_digits))))
+    damaged = F.coalesce(flag_pattern(F.col(column)), F.lit(False))
+    shown = F.length(F.split(mangled_bucket(F.col(column)), "e")[0])
+    most = df.where(damaged).agg(F.coalesce(F.max(shown), F.lit(1)).alias("_most")).scalar()
+    rendered = full.withColumn("_digits", F.explode(F.sequence(F.lit(1), most)))
     unique = (
-        rendered.withColumn("_bucket", magnitude_bucket(F.col("_id").try_cast("double"), F.col("_digits")))
+        rendered.withColumn("_bucket", magnitude_bucket(F.col("_id"), F.col("_digits")))
         .withColumn("_bucket", F.concat_ws(":", F.col("_digits").cast("string"), "_bucket"))
         .groupBy("_bucket")
         .agg(F.count(F.lit(1)).alias("_candidates"), F.min("_id").alias("_full"))
     )
-    damaged = F.coalesce(flag_pattern(F.col(column)), F.lit(False))
     bucket = mangled_bucket(F.col(column))
     mangled = df.where(damaged).select(column).distinct().withColumn(
         "_bucket", F.concat_ws(":", F.length(F.split(bucket, "e")[0]).cast("string"), bucket)
@@ -135,16 +141,19 @@ def repair_ids(df: DataFrame, column: str, lookup: DataFrame, full_id: str, max_
 
 def attach_attributes(
     facts: DataFrame, encounters: DataFrame, key: str, attributes: Sequence[str],
-    not_unique: Column | None = None, hot_rows: int = HOT_KEY_ROWS,
+    not_unique: Column | None = None, hot: DataFrame | None = None,
 ) -> DataFrame:
     """Bring encounter attributes to facts by key.
 
-    Encounters flagged as not unique on the key are left out of the lookup, so a fact is never
-    multiplied; such facts keep null attributes.
+    Encounters flagged as not unique on the key are left out of the lookup, and so is any key that
+    several of the others still share: a fact is never multiplied, and where the encounter is not
+    certain its attributes are null.  ``hot`` may name hot keys of the facts to be salted.
     """
     usable = encounters if not_unique is None else encounters.where(~not_unique)
-    lookup = usable.select(key, *attributes)
-    return join_attributes(facts, lookup, [key], "left", hot_keys(facts, [key], hot_rows))
+    rows = usable.select(key, *attributes).groupBy(key).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.first(name).alias(name) for name in attributes]
+    )
+    return join_attributes(facts, rows.where("_rows = 1").drop("_rows"), [key], "left", hot)
 
 
 def as_of(
@@ -155,23 +164,25 @@ def as_of(
 
     Both sides are merged into one timeline and the latest value is carried along it.  No pair of
     reference and measure is ever formed, whatever their number per entity.  Of several measures at
-    the same instant the largest counts.
+    the same instant the largest counts.  A reference without a key or a time finds nothing.
     """
     keys = list(keys)
     rank = 0 if strictly_before else 2
-    left = refs.select(
+    unknown = any_null(keys)
+    left = refs.where(~unknown).select(
         *keys, F.col(ref_time).alias("_t"), F.lit(rank).alias("_side"), F.lit(None).cast(dict(series.dtypes)[value]).alias("_value"),
         F.struct(*[F.col(c) for c in refs.columns]).alias("_row"),
     )
-    right = series.where(F.col(value).isNotNull() & F.col(ts).isNotNull()).select(
+    right = series.where(~unknown & F.col(value).isNotNull() & F.col(ts).isNotNull()).select(
         *keys, F.col(ts).alias("_t"), F.lit(1).alias("_side"), F.col(value).alias("_value"),
         F.lit(None).cast(left.schema["_row"].dataType).alias("_row"),
     )
     merged = left.unionByName(right)
     known = timeline.last_known(merged, keys, ["_t", "_side", "_value"], "_value", "_asof", **cutting)
-    return known.where(F.col("_row").isNotNull()).select(
+    found = known.where(F.col("_row").isNotNull()).select(
         "_row.*", F.when(F.col("_t").isNotNull(), F.col("_asof")).alias(name)
     )
+    return found.unionByName(refs.where(unknown).withColumn(name, F.lit(None).cast(dict(series.dtypes)[value])))
 
 
 def interval_join(

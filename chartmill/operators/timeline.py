@@ -6,8 +6,8 @@ runs within (entity, slice), each slice is reduced to one summary row, and what
 the others is computed over the summaries and joined back.  All other entities stay in one piece and
 have nothing to carry.
 
-Rows without a time come last, in a slice of their own.  Rows without an entity belong to no
-timeline: they are cut by time like a hot entity, and each slice stands alone.
+Rows without a time come last, in a slice of their own.  Rows without an entity form one timeline, as
+they form one partition of a window; like any other it is cut only if it is hot.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chartmill.functions.columns import epoch_micros
-from chartmill.operators.skew import HOT_KEY_ROWS, PARTS, any_null, hot_keys
+from chartmill.operators.skew import HOT_KEY_ROWS, PARTS, hot_keys, join_null_safe
 
 HOUR = 3_600
 DAY = 24 * HOUR
@@ -74,10 +74,9 @@ class Step:
 
 def _cut(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: int, hot_rows: int) -> DataFrame:
     """Number the slice of each row: by time for hot entities, one slice for any other."""
-    marks = F.broadcast(hot_keys(df, keys, hot_rows).withColumn(HOT, F.lit(True)).drop(PARTS))
-    by_time = F.coalesce(HOT, any_null(keys))
-    return df.join(marks, list(keys), "left").withColumn(
-        SLICE, F.when(by_time, slice_of(F.col(ts), slice_seconds)).otherwise(F.lit(0))
+    marks = hot_keys(df, keys, hot_rows).withColumn(HOT, F.lit(True)).drop(PARTS)
+    return join_null_safe(df, marks, keys).withColumn(
+        SLICE, F.when(F.col(HOT), slice_of(F.col(ts), slice_seconds)).otherwise(F.lit(0))
     )
 
 
@@ -91,7 +90,7 @@ def extend(
     per_slice = cut.where(HOT).groupBy(*keys, SLICE).agg(*[step.summary.alias(f"_s_{name}") for name, step in steps.items()])
     carried = per_slice.select(*keys, SLICE, *[step.across(f"_s_{name}").alias(f"_c_{name}") for name, step in steps.items()])
     rows = cut.drop(HOT).withColumns({f"_w_{name}": step.within for name, step in steps.items()})
-    joined = rows.join(carried, [*keys, SLICE], "left")
+    joined = join_null_safe(rows, carried, [*keys, SLICE])
     combined = {name: step.combine(F.col(f"_w_{name}"), F.col(f"_c_{name}")) for name, step in steps.items()}
     return joined.withColumns(combined).drop(SLICE, *[f"_w_{name}" for name in steps], *[f"_c_{name}" for name in steps])
 
@@ -195,6 +194,6 @@ def runs(
     opens = (~F.col("_head").eqNullSafe(F.lag("_tail").over(_slices(keys)))).cast("bigint")
     before = F.coalesce(F.sum(F.col("_opens") + F.col("_starts")).over(_earlier(keys)), F.lit(0))
     carried = edges.withColumn("_opens", opens).select(*keys, SLICE, (before + F.col("_opens")).alias("_offset"))
-    joined = counted.join(carried, [*keys, SLICE], "left")
+    joined = join_null_safe(counted, carried, [*keys, SLICE])
     number = F.coalesce("_offset", F.lit(1).cast("bigint")) + F.col("_inner")
     return joined.withColumn("run", number).drop(HOT, SLICE, "_start", "_inner", "_offset")

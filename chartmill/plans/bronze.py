@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -46,35 +47,46 @@ def pending_parts(spark: SparkSession, layout: Layout, table: str, paths: str |
 def load_parts(
     spark: SparkSession, layout: Layout, table: str, parts: list[tuple[str, str]], rules: CleaningRules = CleaningRules()
 ) -> str:
-    """Load a batch of source files as one job and record the outcome of each in the ledger."""
-    spec = BRONZE[table]
+    """Load a batch of source files as one job and record the outcome of each in the ledger.
+
+    A file in which no line leaves a quote open is split among tasks; any other is parsed as a whole,
+    since its records may span lines.  Raises :class:`store.IncompleteLoad` if the records of a file
+    and the rows stored from it differ in number, or a record has the wrong number of fields.
+    """
     paths = [path for _, path in parts]
     load_id = store.new_id()
-    raw = text.read_csv_parts(spark, paths, spec.multi_line)
-    store.write_load(to_bronze(raw, table, rules), layout, table, load_id)
-
-    # Per file: records of the source counted apart from the load, rows now stored, physical lines.
-    # Where a record is a line, the line count is the record count and the text is parsed only once.
+    lines = text.line_stats(spark, paths).collect()  # one row per file of the batch
+    torn = {row[text.SOURCE_FILE] for row in lines if row.torn_lines}
+    raw = reduce(DataFrame.unionByName, [
+        text.read_csv_parts(spark, some, multi_line)
+        for multi_line in (False, True) if (some := [path for name, path in parts if (name in torn) == multi_line])
+    ])
+    store.write_load(to_bronze(raw.drop(text.CORRUPT), table, rules), layout, table, load_id)
+
+    # Per file: records of the source, rows now stored, physical lines.  Where a record is a line, the
+    # records are counted apart from the CSV reader.
     stored = store.read_load(spark, layout, table, [load_id]).groupBy(text.SOURCE_FILE).agg(
         F.count(F.lit(1)).alias("ingested_rows")
     )
-    listed = spark.createDataFrame([(name, True) for name, _ in parts], f"{text.SOURCE_FILE} STRING, listed BOOLEAN")
-    counts = listed.unionByName(stored, allowMissingColumns=True)
-    counts = counts.unionByName(text.physical_lines(spark, paths), allowMissingColumns=True)
-    if spec.multi_line:
-        counts = counts.unionByName(text.parsed_records(spark, paths, True), allowMissingColumns=True)
-    source_rows = "parsed_records" if spec.multi_line else "filled_lines"
-    counted = counts.groupBy(text.SOURCE_FILE).agg(
+    known = [(row[text.SOURCE_FILE], row.physical_lines, None if row.torn_lines else row.filled_lines) for row in lines]
+    counted = spark.createDataFrame([(name, True) for name, _ in parts], f"{text.SOURCE_FILE} STRING, listed BOOLEAN")
+    for counts in (
+        stored, text.parsed_records(raw), spark.createDataFrame(known, f"{text.SOURCE_FILE} STRING, physical_lines BIGINT, filled_lines BIGINT")
+    ):
+        counted = counted.unionByName(counts, allowMissingColumns=True)
+    counted = counted.groupBy(text.SOURCE_FILE).agg(
         F.coalesce(F.max("listed"), F.lit(False)).alias("listed"), F.max("physical_lines").alias("physical_lines"),
-        *[F.coalesce(F.max(old), F.lit(0)).alias(new) for old, new in ((source_rows, "source_rows"), ("ingested_rows", "ingested_rows"))],
+        F.coalesce(F.max("filled_lines"), F.max("parsed_records"), F.lit(0)).alias("source_rows"),
+        *[F.coalesce(F.max(name), F.lit(0)).alias(name) for name in ("ingested_rows", "malformed_rows")],
     )
-    match = F.col("listed") & (F.col("source_rows") == F.col("ingested_rows"))
+    match = F.col("listed") & (F.col("source_rows") == F.col("ingested_rows")) & (F.col("malformed_rows") == 0)
     entries = counted.select(
         F.lit(table).alias("table"), text.SOURCE_FILE, F.lit(load_id).alias("load_id"),
         F.when(match, "done").otherwise("mismatch").alias("status"),
-        "source_rows", "ingested_rows", "physical_lines", match.alias("row_match"), store.now_ntz().alias("finished_at"),
+        "source_rows", "ingested_rows", "malformed_rows", "physical_lines", match.alias("row_match"), store.now_ntz().alias("finished_at"),
     )
     store.append(entries.coalesce(1), layout.ledger("loads"))
+    store.require_complete(spark, layout, table, load_id)
     return load_id
 
 
@@ -96,7 +108,7 @@ def ingest_all(
     tables: tuple[str, ...] = ORDER,
 ) -> dict[str, int]:
     """Load the chosen tables in fixed order and stop at the first failure."""
-    store.ensure_namespaces(spark)
+    store.ensure_namespaces(spark, layout)
     loaded = {}
     for table in tables:
         spark.sparkContext.setJobGroup(f"bronze.{table}", f"load bronze.{table}")

@@ -155,10 +155,14 @@ def build_rules(table: str, bronze_rows: int, rules: CleaningRules) -> list[qual
 
 def build(spark: SparkSession, layout: Layout, table: str, rules: CleaningRules = CleaningRules()) -> store.Build:
     """Recompute a table into a new version, check the files written, then publish them."""
+    expected = store.require_complete(spark, layout, table)
     bronze = store.scan_bronze(spark, layout, table)
+    bronze_rows = bronze.count()
+    if bronze_rows != expected:
+        raise store.IncompleteLoad(f"bronze.{table} has {bronze_rows} rows, its sources {expected}")
     staged = store.write_build(refine(bronze, table, rules), layout, table)
     written = store.read_build(spark, staged)
-    quality.gate(quality.evaluate(written, table, build_rules(table, bronze.count(), rules)))
+    quality.gate(quality.evaluate(written, table, build_rules(table, bronze_rows, rules)))
     action = store.publish(spark, layout, staged)
     log.info("silver.%s published (%s)", table, action)
     return staged
@@ -168,7 +172,7 @@ def build_all(
     spark: SparkSession, layout: Layout, rules: CleaningRules = CleaningRules(), tables: tuple[str, ...] = tuple(BUILDERS)
 ) -> dict[str, store.Build]:
     """Build the chosen tables in fixed order and stop at the first failure."""
-    store.ensure_namespaces(spark)
+    store.ensure_namespaces(spark, layout)
     built = {}
     for table in tables:
         spark.sparkContext.setJobGroup(f"silver.{table}", f"build silver.{table}")

@@ -24,9 +24,6 @@ class Table:
     drop: tuple[str, ...] = ()
     split_value: str | None = None
     year_of: tuple[str, str] | None = None  # (timestamp column, partition column)
-    # Free text may hold line breaks, but then a file cannot be split.  The large tables hold none, so
-    # that their files, however big, are read by many tasks; the others come in files of modest size.
-    multi_line: bool = True
 
     @property
     def columns(self) -> StructType:
@@ -101,7 +98,6 @@ BRONZE: dict[str, Table] = {
             Lab_Name STRING, Observation_Value DOUBLE, Measurement_Units STRING,
             Reference_Range STRING, Abnormal_Flag STRING, Collection_Datetime TIMESTAMP_NTZ""",
         year_of=("Collection_Datetime", "collection_year"),
-        multi_line=False,
     ),
     "patient_medications": Table(
         source="patient_medications.csv",
@@ -112,7 +108,6 @@ BRONZE: dict[str, Table] = {
             MAR_ACTION_NM STRING, MED_ACTION_TIME TIMESTAMP_NTZ, ADMIN_SIG DOUBLE,
             DOSE_UNIT_NM STRING, MED_ROUTE_NM STRING""",
         year_of=("MED_ACTION_TIME", "med_action_year"),
-        multi_line=False,
     ),
     "flowsheets": Table(
         source="flowsheets_cleaned/flowsheet_part*.csv",
@@ -122,7 +117,6 @@ BRONZE: dict[str, Table] = {
             FLO_DISPLAY_NAME STRING, RECORD_TYPE STRING, RECORDED_TIME TIMESTAMP_NTZ,
             MEAS_VALUE_NUM DOUBLE, MEAS_VALUE_TXT STRING, UNITS STRING""",
         year_of=("RECORDED_TIME", "recorded_year"),
-        multi_line=False,
     ),
 }
 

@@ -30,12 +30,12 @@ def configure(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    It lies under the folder the cluster names in ``spark.checkpoint.dir``.  Only a local master may
-    fall back to a temporary folder of this machine.
+    It lies under the folder the cluster names in ``spark.checkpoint.dir``.  Only a local master, whose
+    executors share the machine, may fall back to its temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="chartmill-")
+        base = f"{tempfile.gettempdir()}/chartmill-scratch"
     return f"{base.rstrip('/')}/chartmill-{purpose}-{uuid.uuid4().hex}"

@@ -23,8 +23,14 @@ log = logging.getLogger(__name__)
 
 LAYERS = ("bronze", "silver")
 
+
+
+class IncompleteLoad(RuntimeError):
+    """Source and table disagree; nothing may be built on such a load."""
+
+
 LOADS_DDL = """table STRING, _source_file STRING, load_id STRING, status STRING, source_rows BIGINT,
-    ingested_rows BIGINT, physical_lines BIGINT, row_match BOOLEAN, finished_at TIMESTAMP_NTZ"""
+    ingested_rows BIGINT, malformed_rows BIGINT, physical_lines BIGINT, row_match BOOLEAN, finished_at TIMESTAMP_NTZ"""
 BUILDS_DDL = "table STRING, build_id STRING, schema_json STRING, partition_column STRING, published_at TIMESTAMP_NTZ"
 
 
@@ -64,9 +70,32 @@ def current_loads(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     return load_history(spark, layout, table).where("is_current").drop("is_current")
 
 
-def ensure_namespaces(spark: SparkSession, layers: tuple[str, ...] = LAYERS) -> None:
+def require_complete(spark: SparkSession, layout: Layout, table: str, load_id: str | None = None) -> int:
+    """Records the current loads of a table hold according to their sources; raises if one is not done.
+
+    With ``load_id`` only that load is looked at.
+    """
+    loads = current_loads(spark, layout, table)
+    loads = loads if load_id is None else loads.where(F.col("load_id") == load_id)
+    bad = F.col("status") != "done"
+    row = loads.agg(
+        F.count_if(bad).alias("n_bad"), F.min(F.when(bad, F.col(SOURCE_FILE))).alias("first_bad"),
+        F.coalesce(F.sum("source_rows"), F.lit(0)).alias("n_rows"),
+    ).first()
+    if row.n_bad:
+        raise IncompleteLoad(f"bronze.{table}: {row.n_bad} source files do not agree with what was loaded, the first is {row.first_bad}")
+    return row.n_rows
+
+
+def quoted(path: str) -> str:
+    """A path as a SQL text literal."""
+    return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def ensure_namespaces(spark: SparkSession, layout: Layout, layers: tuple[str, ...] = LAYERS) -> None:
+    """One database per layer, located under the layout's root."""
     for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION {quoted(f'{layout.root}/_catalog/{layer}')}")
 
 
 def with_year(df: DataFrame, year_of: tuple[str, str] | None) -> DataFrame:
@@ -77,6 +106,11 @@ def with_year(df: DataFrame, year_of: tuple[str, str] | None) -> DataFrame:
     return df.withColumn(name, F.year(ts))
 
 
+def rebalanced(df: DataFrame, year_of: tuple[str, str] | None) -> DataFrame:
+    """Rows of a year meet in tasks of even size, so the files of a folder do not grow with the tasks."""
+    return df if year_of is None else df.hint("rebalance", F.col(year_of[1]))
+
+
 # --- bronze -------------------------------------------------------------------------------------
 
 
@@ -85,7 +119,7 @@ def write_load(df: DataFrame, layout: Layout, table: str, load_id: str) -> str:
     year_of = BRONZE[table].year_of
     folders = [SOURCE_FILE] + ([year_of[1]] if year_of else [])
     path = f"{layout.table('bronze', table)}/_load={load_id}"
-    with_year(df, year_of).write.mode("errorifexists").partitionBy(*folders).parquet(path)
+    rebalanced(with_year(df, year_of), year_of).write.mode("errorifexists").partitionBy(*folders).parquet(path)
     return path
 
 
@@ -140,7 +174,7 @@ def write_build(df: DataFrame, layout: Layout, table: str) -> Build:
     path = f"{layout.table('silver', table)}/_build={build_id}"
     ordered = df.select(*silver_schema(table).names)
     year_of = silver_partition(table)
-    writer = with_year(ordered, year_of).write.mode("errorifexists")
+    writer = rebalanced(with_year(ordered, year_of), year_of).write.mode("errorifexists")
     if year_of:
         writer = writer.partitionBy(year_of[1])
     writer.parquet(path)
@@ -164,7 +198,7 @@ def create_if_absent(spark: SparkSession, name: str, schema: StructType, path: s
     if partition:
         fields += f", `{partition}` int"
         folders = f"PARTITIONED BY (`{partition}`)"
-    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet {folders} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet {folders} LOCATION {quoted(path)}")
     return True
 
 
@@ -188,7 +222,7 @@ def ensure_table(spark: SparkSession, layer: str, table: str, schema: StructType
             create_if_absent(spark, name, schema, path, partition)
             action = f"recreated: {drift}"
         else:
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {quoted(path)}")
             action = "relocated"
     if partition:
         spark.sql(f"MSCK REPAIR TABLE {name}")
@@ -226,7 +260,7 @@ def scan_silver(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
 
 def attach(spark: SparkSession, layout: Layout) -> list[str]:
     """Register every published silver table in the catalog of a new session."""
-    ensure_namespaces(spark)
+    ensure_namespaces(spark, layout)
     names = []
     for table, build in sorted(current_builds(spark, layout).items()):
         year_of = silver_partition(table)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 SOURCE_FILE = "_source_file"
+CORRUPT = "_corrupt_record"
 
 
 def file_name() -> Column:
@@ -17,32 +18,38 @@ def file_name() -> Column:
 def read_csv_parts(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
     """One or many CSV files with a header as one frame of strings plus the file name.
 
-    Quotes are doubled inside quoted text.  ``multi_line`` allows line breaks inside quotes but makes
-    a file unsplittable; turn it off for very large parts.
+    Quotes are doubled inside quoted text.  ``multi_line`` allows line breaks inside quotes but makes a
+    file unsplittable.  A record with too few or too many fields keeps its text in ``_corrupt_record``.
     """
-    raw = spark.read.csv(
-        paths, header=True, inferSchema=False, escape='"', multiLine=multi_line, enforceSchema=False,
-        mode="PERMISSIVE",
-    )
-    return raw.withColumn(SOURCE_FILE, file_name())
+    options = {"header": True, "escape": '"', "multiLine": multi_line, "enforceSchema": False, "mode": "PERMISSIVE"}
+    header = spark.read.csv(paths, inferSchema=False, **options).schema
+    schema = T.StructType([*header.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    return reader.csv(paths, **options).withColumn(SOURCE_FILE, file_name())
 
 
-def physical_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Lines per file without the header, and those that are not blank.
+def line_stats(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Per file: lines without the header, those the CSV reader does not skip, and those that leave a quote open.
 
-    This reads the files as plain lines and so is independent of the CSV reader.  Where no record
-    spans lines, the lines that are not blank are the records.
+    The files are read as plain lines, independently of the CSV reader, which skips lines of blanks and
+    control characters.  Where no line leaves a quote open, each filled line is a record.
     """
-    lines = spark.read.text(paths).select(file_name().alias(SOURCE_FILE), (F.trim("value") != "").alias("_filled"))
+    filled = F.col("value").rlike(r"[^\x00-\x20]")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(paths).select(file_name().alias(SOURCE_FILE), filled.alias("_filled"), (quotes % 2 == 1).alias("_torn"))
     return lines.groupBy(SOURCE_FILE).agg(
-        (F.count(F.lit(1)) - 1).alias("physical_lines"), (F.count_if("_filled") - 1).alias("filled_lines")
+        (F.count(F.lit(1)) - 1).alias("physical_lines"), (F.count_if("_filled") - 1).alias("filled_lines"),
+        F.count_if("_torn").alias("torn_lines"),
     )
 
 
-def parsed_records(spark: SparkSession, paths: str | list[str], multi_line: bool) -> DataFrame:
-    """Records per file as the CSV reader sees them."""
-    records = read_csv_parts(spark, paths, multi_line).select(SOURCE_FILE)
-    return records.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("parsed_records"))
+def parsed_records(raw: DataFrame) -> DataFrame:
+    """Records per file as the CSV reader sees them, and those whose number of fields is wrong.
+
+    The reader judges a record only if another column is asked for too.
+    """
+    malformed = F.when(F.col(CORRUPT).isNotNull(), F.hash(F.col(f"`{raw.columns[0]}`")))
+    return raw.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("parsed_records"), F.count(malformed).alias("malformed_rows"))
 
 
 def part_stats(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:

@@ -39,7 +39,7 @@ def composite_label(read, spark):
 def rise_label(read, spark):
     events = read("events").select("user_id", "ts", "value")
     windows = _signup_windows(read("events"), 3)
-    return gold.rise_label(events, windows, "user_id", "ts", "value", "start_ts", "stop_ts", 2 * 86400, 5.0, 1.5)
+    return gold.rise_label(events, windows, "user_id", "ts", "value", "start_ts", "stop_ts", 2 * 86400, 5.0, 1.5).drop("start_ts", "stop_ts")
 
 
 @query("breach_ahead", """

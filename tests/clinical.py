@@ -38,10 +38,10 @@ def tables():
         one, one,  # an exact copy
         info("enc-1b", pid(1), PRIMARY_ANES_TYPE_NM="General "), info("enc-1b", pid(1)),  # equal after trimming
         info("enc-coll", pid(2), BIRTH_DATE="30"), info("enc-coll", pid(3), BIRTH_DATE="60"),
-        info("enc-mangled", "2.75E+15"), info("enc-mangled", "2.75162E+15"), info("enc-mangled", "2.75162E+15"),
+        info("enc-mangled", "6.13E+15"), info("enc-mangled", "6.13048E+15"), info("enc-mangled", "6.13048E+15"),
         info("enc-conf", pid(4), BIRTH_DATE="64"), info("enc-conf", pid(4), BIRTH_DATE="66"),
         info(*PHANTOM), info(PHANTOM[0], pid(5)),
-        info("enc-dec", pid(6), HEIGHT="5' 10.984"), info("enc-quote", pid(6), HEIGHT="5'10\""), info("enc-blank", pid(6), HEIGHT=""),
+        info("enc-dec", pid(6), HEIGHT="5' 7.325"), info("enc-quote", pid(6), HEIGHT="5'10\""), info("enc-blank", pid(6), HEIGHT=""),
         info(TALL, pid(6), HEIGHT="8' 2.3"), info("enc-89", pid(7), BIRTH_DATE="89"), info("enc-90", pid(7), BIRTH_DATE="90"),
         info("enc-noage", pid(7), BIRTH_DATE="NULL"),
         info("enc-word", pid(8), DISCH_DISP="Designated Disaster Alternative Care Site"),
@@ -50,20 +50,20 @@ def tables():
         info("enc-asa", pid(9), ASA_RATING="Severe"),
     ])}
     rows["patient_history"] = (["mrn", "diagnosis_code", "dx_name"], [
-        *[[pid(1), "180.9", "Cervical cancer"]] * 104, [pid(1), "IMO0001", "No known problems"], [pid(2), "", "Adrenal mass "],
-        [pid(2), "NA", " Adrenal mass"], [pid(2), "255.9", 'said "no",\nthen yes'], ["2751620000000000", "255.9", "Adrenal mass"],
+        *[[pid(1), "346.9", "Migraine"]] * 37, [pid(1), "IMO0001", "No known problems"], [pid(2), "", "Knee sprain "],
+        [pid(2), "NA", " Knee sprain"], [pid(2), "844.9", 'said "no",\nthen yes'], ["6130480000000000", "844.9", "Knee sprain"],
     ])
     rows["patient_visit"] = (["LOG_ID", "mrn", "diagnosis_code", "dx_name"], [
-        *[["enc-1", pid(1), "785.5", "Hemorrhagic shock"]] * 54, ["enc-orphan", pid(99), "401.9", "Hypertension"],
+        *[["enc-1", pid(1), "814.0", "Wrist fracture"]] * 21, ["enc-orphan", pid(99), "401.9", "Hypertension"],
     ])
     rows["patient_coding"] = (["MRN", "SOURCE_KEY", "SOURCE_NAME", "NAME", "REF_BILL_CODE_SET_NAME", "REF_BILL_CODE"], [
-        *[[pid(1), "4", "ICD Procedure Primary Code Set", "Drainage", "ICD-10-PCS", "0HDAXZZ"]] * 612,
-        [pid(2), "3", "Final Diagnosis Primary Code Set", "Thrombocytosis", "ICD-10-CM", "D75.839"],
-        [pid(2), "3", "Final Diagnosis Primary Code Set", "Thrombocytosis", "ICD-10-CM", "D75.839 "], [pid(3), "3", "Final Di", "", "", ""],
+        *[[pid(1), "4", "ICD Procedure Primary Code Set", "Reposition", "ICD-10-PCS", "0QS604Z"]] * 88,
+        [pid(2), "3", "Final Diagnosis Primary Code Set", "Diabetes", "ICD-10-CM", "E11.649"],
+        [pid(2), "3", "Final Diagnosis Primary Code Set", "Diabetes", "ICD-10-CM", "E11.649 "], [pid(3), "3", "Final Di", "", "", ""],
     ])
     complication = ["LOG_ID", "MRN", "Element_Name", "CONTEXT_NAME", "Element_abbr", "SMRTDTA_ELEM_VALUE"]
     rows["patient_post_op_complications"] = (complication, [
-        *[["enc-1", pid(1), "AN AQI POST-OP COMPLICATIONS", "NOTE", "AN Post-op Complications", ""]] * 49,
+        *[["enc-1", pid(1), "AN AQI POST-OP COMPLICATIONS", "NOTE", "AN Post-op Complications", ""]] * 17,
         *[["enc-1", pid(1), "Respiratory", "ENCOUNTER", "Resp", "Respiratory Failure"]] * 2,
         ["enc-coll", pid(2), "Cardiovascular", "ENCOUNTER", "CV", ""], ["enc-coll", pid(2), "Airway", "ORDER", "Airway", ""],
     ])
@@ -75,14 +75,14 @@ def tables():
             ["enc-3", *device[1:], "Drain"], ["enc-3", *device[1:], ""], ["enc-4", *device[1:], ""],
         ])
     rows["patient_procedure_events"] = (["LOG_ID", "MRN", "EVENT_DISPLAY_NAME", "EVENT_TIME", "NOTE_TEXT"], [
-        *[["enc-1", pid(1), "Mark Now", "2020-01-01 09:26:00", ""]] * 345, ["enc-1", pid(1), "Mark Now", "2020-01-01 09:27:00", ""],
+        *[["enc-1", pid(1), "Timeout Done", "2020-01-01 09:41:00", ""]] * 58, ["enc-1", pid(1), "Timeout Done", "2020-01-01 09:43:00", ""],
         ["enc-1", pid(1), "Sign In", "2020-01-01 09:00:00", "alert, oriented"],
     ])
-    lab = ["enc-1", pid(1), "Hospital Encounter", "26515-7", "Platelets", "287.0", "THOUS/MCL", "150-400", "N", "2022-10-27 13:07:00"]
+    lab = ["enc-1", pid(1), "Hospital Encounter", "2345-7", "Glucose", "112.0", "MG/DL", "70-99", "N", "2022-04-09 06:20:00"]
     rows["patient_labs"] = (
         ["LOG_ID", "MRN", "ENC_TYPE_NM", "Lab Code", "Lab Name", "Observation Value", "Measurement Units", "Reference Range", "Abnormal Flag",
          "Collection Datetime"], [
-            lab, lab, [*lab[:6], "THOUS/ CU MM", *lab[7:]], [*lab[:7], "140-400", *lab[8:]], [*lab[:8], "", lab[9]],
+            lab, lab, [*lab[:6], "MG / DL", *lab[7:]], [*lab[:7], "65-105", *lab[8:]], [*lab[:8], "", lab[9]],
             [*lab[:5], "9999999.0", *lab[6:9], "2021-05-01 10:00:00"],
         ])
     med = ["3", "Hospital Encounter", "enc-1", pid(1), "2020-01-01", "Inpatient", "99999204200", "heparin", "HEPARIN (X)", "2020-01-01",
@@ -104,8 +104,8 @@ def flow_parts():
 
     units = ["cmH20", "l/min", "ml", " mL", ',",4"', ""]
     return {
-        "flowsheet_part1.csv": [row(i, "Vital Signs " if i < 23 else "Vital Signs", "98.6") for i in range(200)],
-        "flowsheet_part2.csv": [row(i, "Vital Signs", "98.6") for i in range(123)]
+        "flowsheet_part1.csv": [row(i, "Vital Signs " if i < 23 else "Vital Signs", "98.6") for i in range(150)],
+        "flowsheet_part2.csv": [row(i, "Vital Signs", "98.6") for i in range(61)]
         + [row(500 + i, "Vital Signs", value, time="2021-06-01 00:00:00", show="Rhythm") for i, value in enumerate(["NSR", "", "NaN", "5d", "1e2"])],
         "flowsheet_part10.csv": [row(i, "Ventilation", "1", u, f"2022-01-01 0{i}:00:00", "Resp") for i, u in enumerate(units)],
     }

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from queries import ORACLE, QUERIES
 from tests import oracle
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -15,11 +16,14 @@ def con():
     return oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    df = entry.queries()[name](spark, SF)
-    assert name in entry.oracle_sql()
-    assert oracle.compare(df, con, entry.oracle_sql()[name]) is None
+    df = QUERIES[name](spark, SF)
+    assert oracle.compare(df, con, ORACLE[name]) is None
+
+
+def test_entry_offers_all_queries():
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
 
 
 def test_entry(spark):
