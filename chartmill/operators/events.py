@@ -115,10 +115,15 @@ def exclude_autoclosed(
     return pivot.where(~F.coalesce(F.abs(gap - F.lit(minutes)) <= tolerance, F.lit(False)))
 
 
-def exposure_actions(df: DataFrame, action: str, classes: Mapping[str, str], default: str = "unclassified") -> DataFrame:
-    """Mark each administration action as exposure or logistics through a lookup list."""
-    name = F.trim(F.col(action))
-    return df.withColumn("action_class", first_match([(name == key, value) for key, value in classes.items()], default))
+def exposure_actions(df: DataFrame, action: str, classes: DataFrame, default: str = "unclassified") -> DataFrame:
+    """Mark each administration action as exposure or logistics through a lookup table.
+
+    ``classes`` has the columns ``action`` and ``action_class``, one row per action; spaces around an
+    action do not matter.
+    """
+    lookup = classes.select(F.trim("action").alias("_action"), "action_class").dropDuplicates(["_action"])
+    marked = df.join(lookup, F.trim(F.col(action)) == F.col("_action"), "left").drop("_action")
+    return marked.withColumn("action_class", F.coalesce("action_class", F.lit(default)))
 
 
 def case_duration(pivot: DataFrame, phases: Mapping[str, tuple[str, str]]) -> DataFrame:

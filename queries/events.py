@@ -92,7 +92,7 @@ def exclude_autoclosed(read, spark):
     SELECT CASE event_type WHEN 'purchase' THEN 'exposure' WHEN 'view' THEN 'logistics' WHEN 'click' THEN 'logistics' ELSE 'unclassified' END
            AS action_class, count(*) AS n FROM events GROUP BY 1""")
 def exposure_actions(read, spark):
-    classes = {"purchase": "exposure", "view": "logistics", "click": "logistics"}
+    classes = spark.createDataFrame([("purchase", "exposure"), ("view ", "logistics"), ("click", "logistics")], "action string, action_class string")
     return ev.exposure_actions(read("events"), "event_type", classes).groupBy("action_class").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -6,12 +6,9 @@ from chartmill.operators import linkage
 from queries.base import query
 
 
-@query("orphan_keys", """
-    SELECT c_custkey AS k, count(*) AS n_rows FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) GROUP BY 1""")
+@query("orphan_keys", "SELECT doc_id, count(*) AS n_rows FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1")
 def orphan_keys(read, spark):
-    return linkage.orphan_keys(
-        read("customer").select(F.col("c_custkey").alias("k")), read("orders").select(F.col("o_custkey").alias("k")), "k"
-    )
+    return linkage.orphan_keys(read("documents").select("doc_id"), read("labels").select("doc_id"), "doc_id")
 
 
 def _coverage_sql(left, lkey, right, rkey):

@@ -17,15 +17,6 @@ def reconcile_multiplicity(read, spark):
     return quality.reconcile_multiplicity(lines, dedup.collapse_count(lines, LINE_KEY))
 
 
-@query("reconcile_source", """
-    SELECT l_returnflag AS _source_file, count(*) AS source_rows, count(*) AS ingested_rows, count(*) AS table_rows, true AS matches
-    FROM lineitem GROUP BY l_returnflag""")
-def reconcile_source(read, spark):
-    rows = read("lineitem").withColumn("_source_file", F.col("l_returnflag"))
-    counts = dedup.collapse_count(rows, ["_source_file"], "source_rows")
-    return quality.reconcile_source(rows, counts.withColumn("ingested_rows", F.col("source_rows")))
-
-
 @query("verify_layer", """
     WITH c AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY ALL),
     m AS (SELECT count(*) AS r, CAST(sum(n) AS BIGINT) AS s, count(DISTINCT l_orderkey) AS d, max(n) AS x,
