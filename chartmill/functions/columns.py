@@ -184,8 +184,11 @@ def days_between(start: Column, end: Column) -> Column:
 def differs(column: str) -> Column:
     """Aggregate: does the group hold more than one value, null counting as a value?
 
-    Uses a smallest and a largest value instead of a distinct count, so the state stays constant.
+    Compares the smallest and the largest of two 64-bit hashes instead of counting distinct values: the
+    state is constant and of fixed width, so groups are aggregated by hash, whatever the type.
     """
     value = F.col(column)
     mixed_nulls = (F.count(value) > 0) & (F.count(value) < F.count(F.lit(1)))
-    return mixed_nulls | F.coalesce(F.min(value) != F.max(value), F.lit(False))
+    hashes = [F.when(value.isNotNull(), F.xxhash64(*seed, value)) for seed in ((), (F.lit(1),))]
+    unlike = [F.coalesce(F.min(h) != F.max(h), F.lit(False)) for h in hashes]
+    return mixed_nulls | unlike[0] | unlike[1]

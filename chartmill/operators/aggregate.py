@@ -7,11 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chartmill.functions import columns as C
-from chartmill.operators.skew import hot_keys, join_attributes
-
-# Brackets of at most this many groups are collected and broadcast.
-MAX_BROADCAST_GROUPS = 10_000
-
+from chartmill.operators.skew import join_null_safe
 
 def totals(df: DataFrame, measures: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """Named aggregates, overall or per group, in one pass."""
@@ -123,14 +119,9 @@ def exact_quantiles(
         floor = F.greatest(floor, F.when(v > high, high))
     # A value inside a bracket stays; all values in a gap become one line, placed after the bracket
     # below them (or first, with a null floor).
-    # Few groups, the usual case, are broadcast; the number is checked, and many groups are joined.
-    known = brackets.limit(MAX_BROADCAST_GROUPS + 1).collect()
-    if len(known) <= MAX_BROADCAST_GROUPS:
-        located = data.join(F.broadcast(data.sparkSession.createDataFrame(known, brackets.schema)), groups)
-    else:
-        located = join_attributes(data, brackets, groups, "inner", hot_keys(data, groups))
+    # The brackets are one row per group; the optimizer sees their size and broadcasts them if small.
     counted = (
-        located
+        join_null_safe(data, brackets, groups, "inner")
         .groupBy(*groups, "_total", (~inside).alias("_gap"), F.when(inside, v).otherwise(floor).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -139,7 +130,8 @@ def exact_quantiles(
 
     def at(rank: Column) -> Column:
         covers = (F.col("_through") - F.col("_n") <= rank) & (rank < F.col("_through")) & ~F.col("_gap")
-        return F.max(F.when(covers, F.col("_v")))
+        # A rank the brackets miss is an error, never a silent null.
+        return F.coalesce(F.max(F.when(covers, F.col("_v"))), F.raise_error(F.lit("a quantile lies outside its bracket; raise the accuracy")))
 
     measures = []
     for i, p in enumerate(points):

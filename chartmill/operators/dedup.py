@@ -25,13 +25,15 @@ def collapse_count(df: DataFrame, keys: Sequence[str] | None = None, name: str =
 def collapse_collect(df: DataFrame, keys: Sequence[str], varying: str, list_name: str, flag: str) -> DataFrame:
     """Like collapse_count, with the sorted distinct values of one varying category.
 
-    A null value is kept as the last list element; the flag counts non-null values only.  The list
-    is bounded by the number of categories, and repeated values are dropped before the shuffle.
+    A null value is kept as the last list element; the flag counts non-null values only.  Rows first
+    collapse by hash on the whole tuple; only one row per category is left for the list, which is
+    bounded by the number of categories.
     """
-    grouped = df.groupBy(*keys).agg(
-        F.sort_array(F.collect_set(varying)).alias("_values"),
+    counted = df.groupBy(*keys, varying).agg(F.count(F.lit(1)).alias("_n"))
+    grouped = counted.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(varying)).alias("_values"),
         F.max(F.col(varying).isNull()).alias("_null_seen"),
-        F.count(F.lit(1)).alias(COUNT),
+        F.sum("_n").alias(COUNT),
     )
     null_element = F.array(F.lit(None).cast(dict(df.dtypes)[varying]))
     listed = F.when(F.col("_null_seen"), F.concat("_values", null_element)).otherwise(F.col("_values"))

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chartmill.functions.columns import flag_pattern
+from chartmill.functions.columns import epoch_micros, flag_pattern
 from chartmill.operators import timeline
 from chartmill.operators.skew import any_null, hot_keys, join_attributes
 
@@ -191,16 +191,24 @@ def interval_join(
     """Facts lying inside [start, stop] of an interval of the same key.
 
     Both sides are cut into time slices and joined on (key, slice): a key with very many facts is
-    spread over its slices, and a fact only meets intervals that touch its slice.
+    spread over its slices, and a fact only meets intervals that touch its slice.  Slices come in
+    levels, each four times as long as the one below; an interval uses the lowest level on which it
+    touches two slices at most, however long it is, and a fact is entered on each level in use.
     """
     step = slice_seconds * 1_000_000
-    first = timeline.slice_of(F.col(start), slice_seconds)
-    last = timeline.slice_of(F.col(stop), slice_seconds)
+    length = epoch_micros(F.col(stop)) - epoch_micros(F.col(start))
+    level = F.greatest(F.ceil(F.log(4.0, F.greatest(length, F.lit(1)) / step)), F.lit(0)).cast("int")
+
+    def slice_at(time: str) -> Column:
+        return F.floor(epoch_micros(F.col(time)) / (F.lit(step) * F.pow(F.lit(4.0), F.col("_level"))))
+
     valid = F.col(start).isNotNull() & F.col(stop).isNotNull() & (F.col(start) <= F.col(stop))
-    pieces = intervals.where(valid).withColumn("_slice", F.explode(F.sequence(first, last, F.lit(step))))
-    cut = facts.where(F.col(ts).isNotNull()).withColumn("_slice", timeline.slice_of(F.col(ts), slice_seconds))
-    met = cut.join(pieces, [key, "_slice"])
-    return met.where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(stop))).drop("_slice")
+    leveled = intervals.where(valid).withColumn("_level", level)
+    in_use = leveled.agg(F.collect_set("_level").alias("levels")).scalar()
+    pieces = leveled.withColumn("_slice", F.explode(F.sequence(slice_at(start), slice_at(stop))))
+    entered = facts.where(F.col(ts).isNotNull()).withColumn("_level", F.explode(in_use)).withColumn("_slice", slice_at(ts))
+    met = entered.join(pieces, [key, "_level", "_slice"])
+    return met.where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(stop))).drop("_slice", "_level")
 
 
 def linkage_stats(encounters: DataFrame, entity: str, encounter: str) -> DataFrame:

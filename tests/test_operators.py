@@ -309,8 +309,7 @@ def test_exact_quantiles(spark, seed):
         assert got[p] == pytest.approx(np.quantile(data, p), rel=1e-12, abs=1e-12)
 
 
-def test_quantiles_of_many_groups(spark, monkeypatch):
-    monkeypatch.setattr(aggregate, "MAX_BROADCAST_GROUPS", 2)
+def test_quantiles_of_many_groups(spark):
     df = spark.range(100).select((F.col("id") % 5).alias("g"), F.col("id").cast("double").alias("v"))
     got = {r.g: r.quantile for r in aggregate.exact_quantiles(df, ["g"], "v", [0.5]).collect()}
     assert got == {g: 47.5 + g for g in range(5)}
@@ -385,6 +384,15 @@ def test_repeated_keys_keep_to_their_own_times(spark):
     assert sorted((r.k or "", r.x) for r in linkage.attach_attributes(facts, encounters, "k", ["x"]).collect()) == [("", None), ("a", None), ("a", None), ("b", 3)]
 
 
+def test_an_open_ended_interval_is_no_burden(spark):
+    facts = spark.createDataFrame([(1, "a", at(5)), (2, "a", at(90_000)), (3, "b", at(5)), (4, None, at(5))], "id int, k string, ts timestamp_ntz")
+    spans = spark.createDataFrame(
+        [("a", dt.datetime(1, 1, 2), dt.datetime(9999, 12, 31)), ("a", at(0), at(10)), ("b", at(6), dt.datetime(9999, 12, 31)), ("b", at(5), at(5)), (None, at(0), at(9))],
+        "k string, s timestamp_ntz, e timestamp_ntz")
+    met = linkage.interval_join(facts, spans, "k", "ts", "s", "e")
+    assert sorted((r.id, r.e.year) for r in met.collect()) == [(1, T0.year), (1, 9999), (2, 9999), (3, T0.year)]
+
+
 def test_as_of_without_a_key(spark):
     refs = spark.createDataFrame([(1, None, at(9)), (2, 1, at(9))], "id int, e int, t timestamp_ntz")
     series = spark.createDataFrame([(None, at(1), 5.0), (1, at(2), 6.0)], "e int, ts timestamp_ntz, v double")
