@@ -9,12 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from chartmill.functions.columns import first_match, minutes_between
 from chartmill.operators.aggregate import exact_quantiles, rate_by
 
-# The checkpoints of an anesthesia record in their expected order.
-CHECKPOINTS = (
-    "Anesthesia Start", "Start Data Collection", "Sign In", "Induction", "Intubation",
-    "Anesthesia Ready", "Emergence", "Extubation", "Stop Data Collection", "Anesthesia Stop",
-)
-
 # Records never closed by hand are closed by the system after seven days.
 AUTOCLOSE_MINUTES = 7 * 24 * 60.0
 AUTOCLOSE_TOLERANCE = 10.0

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from chartmill.config import CleaningRules, Expectation, Layout
 from chartmill.operators import quality
-from chartmill.plans import bronze, explore, silver, verify
+from chartmill.plans import audit, bronze, explore, silver, verify
 from chartmill.schemas import BRONZE, silver_schema
 from chartmill.sources import scans, store, text
 from chartmill.streaming.parts import incremental_parts
@@ -214,6 +214,14 @@ def test_views_and_distributions(lake):
     assert ages["max"] == 90 and ages["count"] == 24
 
 
+def test_audit_of_the_exports(lake):
+    spark, _, source = lake
+    found = {(r.table, r.about, r.measure): r.value for r in audit.audit(spark, source, RULES, ("flowsheets", "patient_visit")).collect()}
+    assert found["patient_visit", "mrn", "n_distinct"] == "2" and found["patient_visit", "dx_name", "n_null"] == "0"
+    assert found["flowsheets", "flowsheet_part10.csv", "rows"] == "6" and found["flowsheets", "LOG_ID", "n_rows"] == "222"
+    assert [found["flowsheets", "MEAS_VALUE", m] for m in ("n_numeric", "n_text")] == ["218", "2"]
+
+
 def test_interrupted_load_is_invisible_and_repeatable(spark, tmp_path):
     source = clinical.write(str(tmp_path / "csv"))
     layout = Layout(str(tmp_path / "warehouse"))
