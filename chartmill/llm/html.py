@@ -39,13 +39,15 @@ REGION = frozenset(["body", "div", "section", "td", "table", "blockquote"])
 # A new one of these ends an open one of the same kind.
 SELF_ENDING = {"p": BLOCK - {"p"}, "li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "tr": frozenset(["table"])}
 WORDS = frozenset(
-    "ad ads adbox adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment comments commentlist "
+    "ad ads adbox adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist "
     "consent cookie cookies copyright disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter "
     "notice notices outbrain pager pagination popup promo promoted promotion related recommended respond search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe taboola toolbar topbar widget".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-_SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
+_SPLIT = re.compile(r"[^a-z]+")
+# A class such as "has-sidebar" speaks of what is beside the element.
+BESIDE = frozenset(["has", "with", "no", "without", "after", "before"])
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -57,7 +59,8 @@ def is_boilerplate(tag: str, attributes: list[tuple[str, str | None]], inside: s
         return False
     for name, value in attributes:
         if name in ("class", "id"):
-            if value and not WORDS.isdisjoint(_SPLIT.split(_HUMP.sub("-", value).lower())):
+            words = _SPLIT.split(_HUMP.sub("-", value).lower()) if value else []
+            if any(w in WORDS and not (inside and w == "header") and before not in BESIDE for before, w in zip(["", *words], words)):
                 return True
         elif name == "role":
             if value and value.lower() in ROLES:

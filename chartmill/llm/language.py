@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 UNDETERMINED = "und"
 PROFILE = 400
-LONGEST = 3
 # Learned from per language; up to a thousand, tasks keep their own best rows before any is sent on.
 TRAIN_DOCS = 1000
 _BITS = 21  # of a code point

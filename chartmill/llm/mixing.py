@@ -19,6 +19,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from chartmill.llm.base import written
+
 BUCKET_ROWS = 20_000
 KEY_DIGITS = 12  # hexadecimal digits of the order key that buckets are made of
 
@@ -27,9 +29,12 @@ def words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
-def order_key(seed: int, epoch: Column, ids: Sequence[str], text: str) -> Column:
-    """Where a document stands in an epoch's order: a hexadecimal string, alike for alike rows."""
-    parts = [F.lit(str(seed)), epoch.cast("string"), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ids], F.coalesce(F.md5(text), F.lit(""))]
+def order_key(seed: int, epoch: Column, ids: Sequence[str], digest: str) -> Column:
+    """Where a document stands in an epoch's order: a hexadecimal string, alike for alike rows.
+
+    ``digest`` is the MD5 of its text.
+    """
+    parts = [F.lit(str(seed)), epoch.cast("string"), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ids], F.coalesce(digest, F.lit(""))]
     return F.md5(F.concat_ws(":", *parts))
 
 
@@ -78,8 +83,9 @@ def mix(
 
     The budget is ``share`` of all tokens of ``docs``.  No document is taken more than ``max_epochs`` times.
     """
-    counted = docs.withColumn("_tokens", tokens if tokens is not None else words(text)).withColumn("_leaf", _paths(levels)[-1])
-    slim = counted.select(*dict.fromkeys([*levels, *ids, text]), "_tokens", "_leaf")
+    counted = docs.withColumn("_digest", F.md5(text)).withColumn("_leaf", _paths(levels)[-1])
+    slim = counted.withColumn("_tokens", tokens if tokens is not None else words(text))
+    slim = slim.select(*dict.fromkeys([*levels, *ids]), "_digest", "_tokens", "_leaf")
     leaves = slim.groupBy("_leaf", *levels).agg(F.sum("_tokens").alias("available"), F.count(F.lit(1)).alias("_n"))
     whole = leaves.agg((F.coalesce(F.sum("available"), F.lit(0)) * share).alias("_total"))
     planned = leaves.join(F.broadcast(whole))  # one row
@@ -90,7 +96,8 @@ def mix(
         F.floor(F.col("budget") + 1e-6).cast("long").alias("_budget"), F.greatest(F.ceil(F.col("_n") / bucket_rows), F.lit(1)).alias("_buckets"),
     ).withColumn("_rest", F.when(F.col("_full") >= max_epochs, F.lit(0)).otherwise(F.col("_budget") - F.col("_full") * F.col("available")))
 
-    placed = slim.join(plan.select("_leaf", "_full", "_buckets", "_rest"), "_leaf").withColumn("_key", order_key(seed, F.col("_full"), ids, text))
+    plan = written(plan, "plan")  # one row per leaf: joins see its size
+    placed = slim.join(plan.select("_leaf", "_full", "_buckets", "_rest"), "_leaf").withColumn("_key", order_key(seed, F.col("_full"), ids, "_digest"))
     part = F.conv(F.substring("_key", 1, KEY_DIGITS), 16, 10).cast("double") / float(16**KEY_DIGITS)
     placed = placed.select("_leaf", "_rest", "_key", "_tokens", F.floor(part * F.col("_buckets")).alias("_bucket"))
     sums = placed.groupBy("_leaf", "_rest", "_bucket").agg(F.sum("_tokens").alias("_sum"))
@@ -102,8 +109,8 @@ def mix(
     over = ends.withColumn("_to", taken).where("_to > _rest").groupBy("_leaf").agg(F.min("_key").alias("_stop"))
 
     # A leaf without a stop takes all of its further epoch, unless it has had every epoch already.
-    stops = plan.select("_leaf", "_full").join(over, "_leaf", "left")
-    chosen = counted.join(stops, "_leaf").withColumn("_key", order_key(seed, F.col("_full"), ids, text))
+    stops = written(plan.select("_leaf", "_full").join(over, "_leaf", "left"), "stops")
+    chosen = counted.join(stops, "_leaf").withColumn("_key", order_key(seed, F.col("_full"), ids, "_digest"))
     more = (F.col("_full") < max_epochs) & F.coalesce(F.col("_key") < F.col("_stop"), F.lit(True))
     times = F.col("_full") + more.cast("int")
     return chosen.withColumn("_times", times).where("_times > 0").select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(0), F.col("_times") - 1)).alias(epoch))

@@ -9,6 +9,10 @@ distance of the truncated permutations does:
 
 A fixed share of each shard, the best by footrule, is then scored exactly.
 
+Pivots are near by angle, queries ask for inner products.  Every vector is therefore lifted by one more
+component that brings it to the length of the longest; queries get a zero there.  The order of lifted
+angles is the order of inner products.
+
 Zero vectors take no part, nor do those that :mod:`chartmill.llm.blocks` leaves out.
 """
 
@@ -43,6 +47,12 @@ def inverted_files(order: np.ndarray, pivots: int) -> list[tuple[np.ndarray, np.
     return list(zip(np.split(rows, ends), np.split(weight[by_pivot], ends)))
 
 
+def lifted(vectors: np.ndarray, longest: float) -> np.ndarray:
+    """Vectors of squared length ``longest``, by one more component."""
+    rest = np.maximum(longest - (vectors * vectors).sum(axis=1), 0)
+    return np.column_stack((vectors, np.sqrt(rest)))
+
+
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise inner products, added from the first component to the last."""
     total = np.zeros(len(b))
@@ -66,19 +76,21 @@ def nearest(
         return made.where(usable(F.col("vector")) & F.exists("vector", lambda x: x != 0))
 
     base = rows(vectors)
+    squares = F.aggregate("vector", F.lit(0.0), lambda total, x: total + x * x)
+    longest = base.agg(F.coalesce(F.max(squares), F.lit(0.0))).first()[0]
     sample = base.orderBy(F.xxhash64("id"), "id").limit(pivots).toPandas()["vector"]
     by_length: dict[int, np.ndarray] = {}
     for n in sorted({len(v) for v in sample}):
-        pivot = np.stack([np.asarray(v) for v in sample if len(v) == n])
-        by_length[n] = pivot / np.linalg.norm(pivot, axis=1, keepdims=True)
+        by_length[n] = lifted(np.stack([np.asarray(v) for v in sample if len(v) == n]), longest)
 
     def best(ids: np.ndarray, own: np.ndarray, asked_ids: np.ndarray, asked: np.ndarray) -> pd.DataFrame:
-        pivot = by_length.get(own.shape[1], own[:1])
+        pivot = by_length.get(own.shape[1])
+        pivot = lifted(own[:pivots], longest) if pivot is None else pivot
         m = min(listed, len(pivot))
-        files = inverted_files(places(own, pivot, m), len(pivot))
+        files = inverted_files(places(lifted(own, longest), pivot, m), len(pivot))
         share = max(least, int(np.ceil(reranked * len(own))))
         out: list[tuple[int, np.ndarray, np.ndarray]] = []
-        for i, order in enumerate(places(asked, pivot, m)):
+        for i, order in enumerate(places(np.column_stack((asked, np.zeros(len(asked)))), pivot, m)):
             shared = np.zeros(len(own), np.int32)
             for place, p in enumerate(order):
                 listed_rows, weight = files[p]

@@ -92,8 +92,9 @@ def with_domain(docs: DataFrame) -> DataFrame:
 @query("op7_mixing")
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_domain(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
-    mixed = mixing.mix(docs, LEVELS, WEIGHTS, share=0.5, max_epochs=2, seed=7)
-    return mixed.select("doc_id", *LEVELS, "epoch", mixing.words("text").alias("n_tokens"))
+    counted = docs.withColumn("n_tokens", mixing.words("text"))
+    mixed = mixing.mix(counted, LEVELS, WEIGHTS, share=0.5, max_epochs=2, seed=7, tokens=F.col("n_tokens"))
+    return mixed.select("doc_id", *LEVELS, "epoch", "n_tokens")
 
 
 @query("op8_neighbours")

@@ -102,7 +102,7 @@ BODY = "<h1>Title </h1><p><b>First &amp; long paragraph,\n with words and more w
 TEXT = "Title\nFirst & long paragraph, with words and more words so that it is content.\nShort.\none\ntwo\nLast paragraph, again with a number of words in it."
 
 
-@pytest.mark.parametrize("around", ["<article>{}</article>", '<div class="content">{}</div>', "<main>{}</main>", '<div><section id="story">{}</section></div>'])
+@pytest.mark.parametrize("around", ["<article>{}</article>", '<div class="content">{}</div>', "<main>{}</main>", '<div class="content has-sidebar">{}</div>', '<article><div class="article-header">{}</div></article>', '<div><section id="story">{}</section></div>'])
 def test_main_text(around):
     assert html.main_text(PAGE.format(body=around.format(BODY))) == TEXT
 

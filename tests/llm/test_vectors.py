@@ -48,10 +48,13 @@ def test_nearest_reranks_everything_when_asked_to(vectors):
     assert {i: [j for j, _ in v] for i, v in got.items()} == {i: [j for j, _ in v] for i, v in want.items()}
 
 
-def test_recall_of_the_index(spark):
+@pytest.mark.parametrize("unequal", [False, True])
+def test_recall_of_the_index(spark, unequal):
     rng = np.random.default_rng(9)
     rows = rng.normal(size=(6000, 64))
     rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    if unequal:
+        rows *= rng.uniform(0.5, 1.5, size=(6000, 1))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<double>")
     out = neighbours.nearest(df, df.where("vec_id % 100 = 0"), 20, shard_rows=3000).collect()
     hits = 0
