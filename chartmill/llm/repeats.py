@@ -224,7 +224,9 @@ def ranges(docs: DataFrame, length: int, gram: int, sorted_pieces: int, largest:
 
     ``docs`` has the row's hashes and its text in ``_text``.
     """
-    twice = _leaders(docs, length, gram).groupBy("leader").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("leader")
+    # Written, so that the join below meets both sides fresh from a shuffle and can split a hot leader.
+    twice = _leaders(docs, length, gram).groupBy("leader").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    twice = written(twice.select("leader"), "leaders")
     found = written(_pieces(docs, length, gram).join(twice, "leader", "left_semi"), "pieces")
     one = [F.first(c).alias(c) for c in ("_h1", "_h2", "first", "last", "at")]
     distinct = written(found.groupBy("leader", "piece").agg(F.count(F.lit(1)).alias("n"), *one), "distinct")
