@@ -1,12 +1,12 @@
 """Near-duplicate groups by MinHash bands, sequential Bayesian verification and exact confirmation.
 
 A text is the set of its distinct five-word shingles.  Texts with equal sets are one node.  Nodes that
-agree on a band of their signatures are candidates.  Candidates meet in *units* of bounded size: a whole
-cluster of candidates where it is small, else each bucket of it, cut into pairs of blocks where a bucket
-is large.  Within a unit, signatures are compared a batch at a time; a pair is dropped as soon as the
-posterior probability that its similarity reaches the threshold is below ``MISS``.  Survivors are
-confirmed on their full sets, unless links found before connect them already.  Only links that join two
-groups are emitted, so a large group of copies gives about as many links as it has members.
+agree on a band of their signatures are candidates.  Candidates meet in *units* of bounded size: a cluster
+of candidates, or each bucket of a very large one, cut into pairs of blocks where it is large.  Within a
+unit, signatures are compared a batch at a time; a pair is dropped as soon as the posterior probability
+that its similarity reaches the threshold is below ``MISS``.  Survivors are confirmed on their full sets,
+unless links found before connect them already.  Only links that join two groups are emitted, so a large
+group of copies gives about as many links as it has members.
 
 Shingles and sets are known by 64-bit hashes.  Texts without a word, null ones included, are linked with
 nothing.  Rows alike in everything are in one group; where ids are missing the smallest id that is there
@@ -203,28 +203,30 @@ def node_of(text: str) -> Column:
     return made(F.col(text))
 
 
-def units(pairs: DataFrame, largest: int) -> DataFrame:
+def units(pairs: DataFrame, largest: int, copies: int) -> DataFrame:
     """Where nodes meet: unit, i, j, node.
 
-    ``pairs`` has band, node, head and m, the bucket's smallest node and size.
+    ``pairs`` has band, node, head and m, the bucket's smallest node and size.  A cluster is one unit, cut
+    into pairs of blocks if it is large; beyond ``copies`` blocks its buckets take its place, as they then
+    send each node less often.
     """
     cluster = components(pairs.select(F.col("node").alias("a"), F.col("head").alias("b")))
-    sizes = cluster.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    sizes = cluster.groupBy("component").agg(F.count(F.lit(1)).alias("m"))
     cluster = written(cluster.join(sizes, "component"), "clusters")
-    whole = cluster.where(F.col("size") <= largest).select(F.col("component").alias("unit"), F.lit(0).alias("i"), F.lit(0).alias("j"), "node")
-    big = pairs.join(cluster.where(F.col("size") > largest).select("node"), "node")
+    block = largest // 2
+    whole = cluster.where(F.col("m") <= block * copies).select(F.col("component").alias("unit"), "m", "node")
+    big = pairs.join(cluster.where(F.col("m") > block * copies).select("node"), "node")
     # Buckets with the same members are compared once.
     alike = big.groupBy("band", "m").agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
     chosen = alike.groupBy("m", "x", "y").agg(F.min("band").alias("band")).select("band")
-    blocks = F.ceil(F.col("m") / (largest // 2))
-    placed = big.join(chosen, "band").withColumn("_n", F.when(F.col("m") <= largest, 1).otherwise(blocks).cast("int"))
-    placed = placed.withColumn("_b", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int"))
+    buckets = big.join(chosen, "band").select(F.col("band").alias("unit"), "m", "node")
+    blocks = F.when(F.col("m") <= largest, 1).otherwise(F.ceil(F.col("m") / block)).cast("int")
+    placed = whole.unionByName(buckets).withColumn("_n", blocks).withColumn("_b", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int"))
     met = placed.withColumn("_c", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    cut = met.select(F.col("band").alias("unit"), F.least("_b", "_c").alias("i"), F.greatest("_b", "_c").alias("j"), "node")
-    return whole.unionByName(cut)
+    return met.select("unit", F.least("_b", "_c").alias("i"), F.greatest("_b", "_c").alias("j"), "node")
 
 
-def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: int = UNIT) -> tuple[DataFrame, DataFrame]:
+def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: int = UNIT, copies: int = HASHES // BAND) -> tuple[DataFrame, DataFrame]:
     """Two tables: every row's _id, text _hash, n (set size) and node; and of all nodes the node,
     component (its smallest node) and component_id."""
     rows = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
@@ -235,7 +237,7 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest:
     bands = nodes.select("node", "sig").mapInArrow(_bands, "band long, node long")
     buckets = bands.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("head")).where("m > 1")
     pairs = written(bands.join(buckets, "band"), "buckets")
-    met = written(units(pairs, largest), "units")
+    met = written(units(pairs, largest, copies), "units")
     needed = nodes.select("node", "label").join(met.select("node").distinct(), "node", "left_semi")
     texts = rows.drop("_hash").withColumn("node", node_of("_text"))
     same = (texts["node"] == needed["node"]) & texts["_id"].eqNullSafe(needed["label"])
@@ -248,9 +250,9 @@ def groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest:
     return base.drop("sig"), member.join(least, "component").select("node", "component", "component_id")
 
 
-def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: int = UNIT) -> DataFrame:
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: int = UNIT, copies: int = HASHES // BAND) -> DataFrame:
     """Per row: the id, n_shingles, component_id (smallest id in the group), kept (the row has that id)."""
-    base, member = groups(docs, doc_id, text, largest)
+    base, member = groups(docs, doc_id, text, largest, copies)
     joined = base.join(member, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("_id")).otherwise(F.col("component_id"))
     return joined.select(
@@ -259,9 +261,9 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lar
     )
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: int = UNIT) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: int = UNIT, copies: int = HASHES // BAND) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the smallest id stays, one row of it."""
-    base, member = groups(docs, doc_id, text, largest)
+    base, member = groups(docs, doc_id, text, largest, copies)
     decided = base.join(member, "node", "left").where(F.col("node").isNull() | F.col("_id").eqNullSafe(F.col("component_id")))
     decided = decided.select("_id", "_hash", F.col("node").alias("_node"), F.col("component").alias("_component")).distinct()
     rows = docs.withColumn("_text_hash", F.xxhash64(text))

@@ -46,10 +46,11 @@ def corpus(seed, texts=40, copies=120):
     return rows
 
 
-@pytest.mark.parametrize("largest", [neardup.UNIT, 8])
-def test_groups_equal_brute_force(docs_of, largest):
+@pytest.mark.parametrize("largest,copies", [(neardup.UNIT, 32), (8, 32), (8, 1)])
+def test_groups_equal_brute_force(docs_of, largest, copies):
+    """Units of whole clusters, of pairs of blocks, and of buckets."""
     rows = corpus(largest)
-    out = neardup.deduplicate(docs_of(rows), largest=largest).collect()
+    out = neardup.deduplicate(docs_of(rows), largest=largest, copies=copies).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == sorted(exact_groups(rows))
     assert all(r.kept == (r.doc_id == r.component_id) for r in out)
 
