@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from chartmill.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Rows a task hands to Python at a time.  Texts can be long, and a batch is held several times over.
+BATCH_ROWS = 1000
+
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
@@ -26,7 +29,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 

@@ -21,8 +21,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-# Words a worker keeps; beyond it long ones, or all, are forgotten, which costs time and changes nothing.
-WORD_MEMORY = 400_000
+# Words a task keeps; beyond it long ones, or all, are forgotten, which costs time and changes nothing.
+WORD_MEMORY = 300_000
 OFTEN = 8
 # Texts whose new words are learned together.
 TOGETHER = 500
@@ -258,6 +258,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", dec
                 if decoded is not None:
                     columns.append(pa.array([words.decode(x) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, *new])
+        words.words = {}  # a worker lives on after its task
 
     return rest.mapInArrow(coded, schema)
 

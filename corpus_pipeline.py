@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from chartmill.llm import language, mixing, neardup, secrets, tokens
-from chartmill.llm.base import table, written
+from chartmill.llm.base import small_batches, table, written
 from chartmill.llm.queries import LEVELS, VOCABULARY, WEIGHTS, with_domain
 
 # A text that shares less than this with the order of every language is in none of them.
@@ -16,6 +16,7 @@ SHARE = 0.8
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in no language the corpus knows.  Labels are used to learn, not to decide."""
+    small_batches(spark)
     profiles = language.fit(docs.where(~language.held_out("doc_id")))
     found = language.predict(docs, profiles, out="_language")
     sure = (F.col("_language.lang") != language.UNDETERMINED) & (F.col("_language.score") >= LEAST_SCORE)
@@ -24,22 +25,26 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near copies."""
+    small_batches(spark)
     return neardup.keep_one(docs)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask secrets in the text; every document stays."""
+    small_batches(spark)
     clean = secrets.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Choose documents so that domains, languages and sources come close to their weights."""
+    small_batches(spark)
     return mixing.mix(with_domain(docs), LEVELS, WEIGHTS, share=SHARE, max_epochs=1, seed=7).select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, and the text they decode to."""
+    small_batches(spark)
     coded = tokens.encode(docs, VOCABULARY, decoded="decoded")
     return coded.select("doc_id", "lang", "source", F.expr("length(ids) div 4").alias("n_tokens"), "ids", "decoded")
 
