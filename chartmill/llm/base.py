@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from chartmill.session import scratch_dir
@@ -38,6 +40,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system at the end of a task: its Python worker lives on beside others."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """Write an intermediate table to the shared scratch folder and read it back.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chartmill.llm import html, language, licences, maxscore, mixing, neardup, neighbours, repeats, secrets, tokens
+from chartmill.llm import html, idfiles, language, licences, maxscore, mixing, neardup, neighbours, repeats, secrets, tokens
 from chartmill.llm.base import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -125,3 +125,9 @@ where rank <= 5
 def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return maxscore.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), 5)
+
+
+@query("op12_id_files")
+def op12_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = idfiles.through_files(table(spark, sf_dir, "documents"), VOCABULARY, end_id=2)
+    return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

@@ -21,17 +21,20 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-# Words a task keeps; beyond it long ones, or all, are forgotten, which costs time and changes nothing.
-WORD_MEMORY = 300_000
+from chartmill.llm.base import give_back
+
+# Bytes of words a task keeps; beyond it long ones, or all, are forgotten, which costs time and changes nothing.
+WORD_MEMORY = 48_000_000
 OFTEN = 8
-# Texts whose new words are learned together.
-TOGETHER = 500
+ENTRY = 170  # bytes an entry takes besides its letters and ids
+# Characters whose new words are learned together; one text may be longer.
+TOGETHER = 1_000_000
 # Fixed value: the split pattern of the vocabulary file, its classes spelled out for Latin-1.
 DIGITS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
 LATIN_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\t-\r \x85\xa0{LETTERS}{DIGITS}]+")
 NO_LIMIT = np.int64(2**62)
-UNMERGED = (2**62, -1)
+UNMERGED = 2**62
 # Words up to this many letters are merged in a plain list, longer ones with a heap.
 SHORT = 48
 
@@ -44,8 +47,11 @@ def byte_letters() -> list[str]:
     return [letters[b] if b in letters else next(spare) for b in range(256)]
 
 
-class Vocabulary:
-    """Token tables of one file, and the words encoded so far."""
+class Words:
+    """Splits texts into the words of a vocabulary file and remembers what each word encodes to.
+
+    ``learn`` says how words not met before are encoded: it fills ``met``.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -53,31 +59,90 @@ class Vocabulary:
         library = Tokenizer.from_file(path)
         self.normalize = library.normalizer.normalize_str
         self.pre_tokenize = library.pre_tokenizer.pre_tokenize_str
+        self.special = {x.content: i for i, x in library.get_added_tokens_decoder().items()}
+        self.special_pattern = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
+        self.letters = byte_letters()
+        self.bytes_of = {c: b for b, c in enumerate(self.letters)}
+        self.met: dict[str, bytes] = {}
+        self.held = 0
+
+    def learn(self, words: list[str]) -> None:
+        raise NotImplementedError
+
+    def split(self, text: str) -> list[str]:
+        """Words of the normalized text, lower case and free of white space."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            back = self.bytes_of
+            return [bytes([back[c] for c in piece]).decode() for piece, _ in self.pre_tokenize(self.normalize(text))]
+        return LATIN_WORDS.findall(text.lower())  # such text is normalized but for its case
+
+    def parts(self, text: str) -> list[list[str] | bytes]:
+        """The words between special tokens, as lists, and the special tokens' ids."""
+        if "<|" not in text:
+            return [self.split(text)]
+        out, at = [], 0
+        for found in self.special_pattern.finditer(text):
+            out += [self.split(text[at : found.start()]), array("I", [self.special[found[0]]]).tobytes()]
+            at = found.end()
+        return [*out, self.split(text[at:])]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers; new words are learned together."""
+        met = self.met
+        if self.held > WORD_MEMORY:  # long words are the least likely to be met again
+            met = self.met = {w: x for w, x in met.items() if len(w) <= OFTEN}
+            self.held = self.size(met)
+            if self.held > WORD_MEMORY // 2:
+                self.forget()
+                met = self.met
+        parts = [self.parts(text) for text in texts]
+        new = {w for text in parts for words in text if isinstance(words, list) for w in words if w not in met}
+        if new:
+            self.learn(list(new))
+            self.held += self.size({w: met[w] for w in new})
+        return [
+            b"".join([b"".join([met[w] for w in x]) if isinstance(x, list) else x for x in text]) for text in parts
+        ]
+
+    @staticmethod
+    def size(met: dict[str, bytes]) -> int:
+        return sum(map(len, met)) + sum(map(len, met.values())) + ENTRY * len(met)
+
+    def forget(self) -> None:
+        self.met, self.held = {}, 0
+
+
+class Vocabulary(Words):
+    """Token tables of one file: words are encoded by guessing and testing pairs."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         ids = spec["model"]["vocab"]
         self.suffix = spec["model"]["end_of_word_suffix"]
-        self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.special_pattern = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))))
         self.names = [""] * (max([*ids.values(), *self.special.values()]) + 1)
         for name, i in [*ids.items(), *self.special.items()]:
             self.names[i] = name
-        self.letters = byte_letters()
-        self.ids = ids
-        size = len(self.names)
-        self.left, self.right = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
-        self.made_at = np.full(size, -1, np.int64)  # rank of the merge that makes a token; -1: a single letter
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, (a, b) in enumerate(spec["model"]["merges"]):
-            pair, made = (ids[a], ids[b]), ids[a + b]
-            if pair in self.rank:
-                continue
-            self.rank[pair] = (rank, made)
-            if self.made_at[made] < 0:
-                self.made_at[made], self.left[made], self.right[made] = rank, *pair
-        keys = np.array([a * size + b for a, b in self.rank], np.int64)
-        order = np.argsort(keys)
-        self.pair_keys, self.pair_ranks = keys[order], np.array([r for r, _ in self.rank.values()], np.int64)[order]
+        size = self.size_ = len(self.names)
+        self.letter_ids = {c: (ids[c], ids[c + self.suffix]) for c in self.letters}
+        self.left, self.right = np.full(size, -1, np.int32), np.full(size, -1, np.int32)
+        self.made_at = np.full(size, -1, np.int32)  # rank of the merge that makes a token; -1: a single letter
+        ranks: dict[int, int] = {}  # by left id * size + right id
+        made = []
+        for a, b in spec["model"]["merges"]:
+            pair = ids[a] * size + ids[b]
+            if pair not in ranks:
+                ranks[pair] = len(made)
+                made.append(ids[a + b])
+                if self.made_at[made[-1]] < 0:
+                    self.made_at[made[-1]], self.left[made[-1]], self.right[made[-1]] = ranks[pair], ids[a], ids[b]
+        self.rank, self.made = ranks, array("i", made)
+        self.pair_keys = np.fromiter(ranks, np.int64, len(ranks))
+        order = np.argsort(self.pair_keys)
+        self.pair_keys, self.pair_ranks = self.pair_keys[order], order.astype(np.int32)  # ranks count up in file order
         # Only tokens that merging their own letters gives back may be guessed.
         self.inner: dict[str, int] = {}
         self.final: dict[str, int] = {}
@@ -87,43 +152,43 @@ class Vocabulary:
             if text and (self.made_at[i] < 0 or self.merge(self.symbols(text, ends)) == [i]):
                 (self.final if ends else self.inner)[text] = i
         self.longest = max(map(len, [*self.inner, *self.final]))
-        self.words: dict[str, bytes] = {}
 
     def symbols(self, word: str, ends: bool = True) -> list[int]:
-        return [self.ids[c] for c in word[:-1]] + [self.ids[word[-1] + (self.suffix if ends else "")]]
+        return [self.letter_ids[c][0] for c in word[:-1]] + [self.letter_ids[word[-1]][ends]]
 
     def merge(self, tokens: list[int]) -> list[int]:
         """Exact merging: always the pair of lowest rank, the leftmost of equals."""
-        rank, n = self.rank, len(tokens)
+        rank, made, size, n = self.rank, self.made, self.size_, len(tokens)
         if n <= SHORT:
             tokens = list(tokens)
-            ranks = [rank.get(p, UNMERGED) for p in zip(tokens, tokens[1:])]
-            while ranks and (best := min(ranks)) is not UNMERGED:
+            ranks = [rank.get(a * size + b, UNMERGED) for a, b in zip(tokens, tokens[1:])]
+            while ranks and (best := min(ranks)) != UNMERGED:
                 i = ranks.index(best)
-                tokens[i : i + 2] = [best[1]]
+                tokens[i : i + 2] = [made[best]]
                 del ranks[i]
                 if i < len(ranks):
-                    ranks[i] = rank.get((tokens[i], tokens[i + 1]), UNMERGED)
+                    ranks[i] = rank.get(tokens[i] * size + tokens[i + 1], UNMERGED)
                 if i:
-                    ranks[i - 1] = rank.get((tokens[i - 1], tokens[i]), UNMERGED)
+                    ranks[i - 1] = rank.get(tokens[i - 1] * size + tokens[i], UNMERGED)
             return tokens
         tokens, after, before = list(tokens), list(range(1, n + 1)), list(range(-1, n - 1))
-        waiting = [(rank[p][0], i, p) for i, p in enumerate(zip(tokens, tokens[1:])) if p in rank]
+        pairs = [a * size + b for a, b in zip(tokens, tokens[1:])]
+        waiting = [(rank[p], i, p) for i, p in enumerate(pairs) if p in rank]
         heapify(waiting)
         while waiting:
-            _, i, pair = heappop(waiting)
+            best, i, pair = heappop(waiting)
             j = after[i]
-            if j >= n or tokens[i] != pair[0] or tokens[j] != pair[1]:
+            if j >= n or tokens[i] * size + tokens[j] != pair:
                 continue  # one of the two has been merged meanwhile
-            tokens[i], tokens[j] = rank[pair][1], -1
+            tokens[i], tokens[j] = made[best], -size
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if (new := (tokens[i], tokens[k])) in rank:
-                    heappush(waiting, (rank[new][0], i, new))
+                if (new := tokens[i] * size + tokens[k]) in rank:
+                    heappush(waiting, (rank[new], i, new))
             h = before[i]
-            if h >= 0 and (new := (tokens[h], tokens[i])) in rank:
-                heappush(waiting, (rank[new][0], h, new))
+            if h >= 0 and (new := tokens[h] * size + tokens[i]) in rank:
+                heappush(waiting, (rank[new], h, new))
         return [t for t in tokens if t >= 0]
 
     def guess(self, word: str) -> list[int]:
@@ -150,7 +215,7 @@ class Vocabulary:
         x, y = a.astype(np.int64).copy(), b.astype(np.int64).copy()
         limit = np.full(len(x), NO_LIMIT)
         fine, live = np.ones(len(x), bool), np.arange(len(x))
-        size = len(self.names)
+        size = self.size_
         while len(live):
             p, q, most = x[live], y[live], limit[live]
             at = np.minimum(np.searchsorted(self.pair_keys, p * size + q), len(self.pair_keys) - 1)
@@ -170,7 +235,7 @@ class Vocabulary:
 
     def learn(self, words: list[str]) -> None:
         """Encode words not met before."""
-        letters, met = self.letters, self.words
+        letters, met = self.letters, self.met
         spelled = ["".join([letters[b] for b in w.encode()]) for w in words]
         guesses = [self.guess(w) for w in spelled]
         sizes = np.array([len(g) for g in guesses])
@@ -184,54 +249,22 @@ class Vocabulary:
         for w, spelling, guess, failed in zip(words, spelled, guesses, wrong.tolist()):
             met[w] = array("I", self.merge(self.symbols(spelling)) if failed else guess).tobytes()
 
-    def split(self, text: str) -> list[str]:
-        """Words of the normalized text, lower case and free of white space."""
-        try:
-            text.encode("latin-1")
-        except UnicodeEncodeError:
-            back = {c: b for b, c in enumerate(self.letters)}
-            return [bytes([back[c] for c in piece]).decode() for piece, _ in self.pre_tokenize(self.normalize(text))]
-        return LATIN_WORDS.findall(text.lower())  # such text is normalized but for its case
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers; new words are learned together."""
-        if len(self.words) > WORD_MEMORY:  # long words are the least likely to be met again
-            self.words = {w: x for w, x in self.words.items() if len(w) <= OFTEN}
-            if len(self.words) > WORD_MEMORY // 2:
-                self.words = {}
-        parts = [self.parts(text) for text in texts]
-        met = self.words
-        new = {w for text in parts for words in text if isinstance(words, list) for w in words if w not in met}
-        if new:
-            self.learn(list(new))
-        return [
-            b"".join([b"".join([met[w] for w in x]) if isinstance(x, list) else x for x in text]) for text in parts
-        ]
-
-    def parts(self, text: str) -> list[list[str] | bytes]:
-        """The words between special tokens, as lists, and the special tokens' ids."""
-        if "<|" not in text:
-            return [self.split(text)]
-        out, at = [], 0
-        for found in self.special_pattern.finditer(text):
-            out += [self.split(text[at : found.start()]), array("I", [self.special[found[0]]]).tobytes()]
-            at = found.end()
-        return [*out, self.split(text[at:])]
-
     def decode(self, ids: bytes) -> str:
         """Token strings joined by spaces, as the library does for a file without a decoder."""
         names = self.names
         return " ".join([names[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
-_loaded: dict[str, Vocabulary] = {}
-
-
-def vocabulary(path: str) -> Vocabulary:
-    """One copy per Python worker."""
-    if path not in _loaded:
-        _loaded[path] = Vocabulary(path)
-    return _loaded[path]
+def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = TOGETHER) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The rows of a task and their texts, about ``most`` characters at a time; null counts as empty."""
+    for batch in batches:
+        texts, start, chars = [], 0, 0
+        for i, value in enumerate(batch.column(text)):
+            texts.append(value.as_py() or "")
+            chars += len(texts[-1])
+            if chars >= most or i == len(batch) - 1:
+                yield batch.slice(start, len(texts)), texts
+                texts, start, chars = [], i + 1, 0
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
@@ -239,8 +272,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", dec
 
     With ``decoded``, also add a column of that name with the text the ids decode to, in the same pass.
     ``path`` names the vocabulary file on every executor.  All other columns pass unchanged.  A null
-    text gives an empty value; an empty table gives an empty table.  Rows are handed on a few hundred
-    at a time, so a task holds one batch of input and little more.
+    text gives an empty value; an empty table gives an empty table.  Rows are handed on in slices of bounded
+    length, and a task's tables and words go with it: a Python worker outlives its tasks.
     """
     new = [out] if decoded is None else [out, decoded]
     rest = docs.drop(*[c for c in new if c != text])
@@ -249,16 +282,17 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", dec
         schema = schema.add(decoded, T.StringType())
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path)
-        for batch in batches:
-            for at in range(0, len(batch), TOGETHER):
-                rows = batch.slice(at, TOGETHER)
-                ids = words.encode([t or "" for t in rows.column(text).to_pylist()])
+        words = Vocabulary(path)
+        try:
+            for rows, texts in slices(batches, text):
+                ids = words.encode(texts)
                 columns = [*rows.columns, pa.array(ids, pa.binary())]
                 if decoded is not None:
                     columns.append(pa.array([words.decode(x) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, *new])
-        words.words = {}  # a worker lives on after its task
+        finally:
+            words = rows = texts = ids = columns = None
+            give_back()
 
     return rest.mapInArrow(coded, schema)
 
@@ -268,7 +302,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
 
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = vocabulary(path)
+        words = Vocabulary(path)
         for batch in batches:
             yield pd.Series([words.decode(bytes(x)) if x is not None else "" for x in batch], dtype=object)
 

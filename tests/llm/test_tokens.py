@@ -24,7 +24,7 @@ def library():
 
 def random_texts():
     rnd = random.Random(3)
-    names = [n.replace("</w>", "") for n in tokens.vocabulary(PATH).names if n.isascii()]
+    names = [n.replace("</w>", "") for n in tokens.Vocabulary(PATH).names if n.isascii()]
     joined = ["".join(rnd.choice(names) for _ in range(rnd.randint(1, 6))) for _ in range(2000)]
     ranges = [(1, 127), (1, 0x250), (0x250, 0xD7FF), (0xE000, 0x1FFFF)]
     wild = ["".join(chr(rnd.randint(*rnd.choice(ranges))) for _ in range(rnd.randint(1, 30))) for _ in range(500)]
@@ -34,14 +34,14 @@ def random_texts():
 
 def test_same_ids_and_text_as_the_library(library):
     texts = ODD + random_texts()
-    own = tokens.vocabulary(PATH)
+    own = tokens.Vocabulary(PATH)
     for text, ids, ref in zip(texts, own.encode(texts), library.encode_batch(texts, add_special_tokens=False)):
         assert np.frombuffer(ids, "<u4").tolist() == ref.ids, text
         assert own.decode(ids) == library.decode(ref.ids, skip_special_tokens=False)
 
 
 def test_both_ways_of_merging_agree(monkeypatch):
-    own = tokens.vocabulary(PATH)
+    own = tokens.Vocabulary(PATH)
     words = [own.symbols("".join(own.letters[b] for b in t.encode())) for t in random_texts() if t]
     listed = [own.merge(w) for w in words]
     monkeypatch.setattr(tokens, "SHORT", 0)
