@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,20 +45,18 @@ MANIFEST = "task int, number int, file string, n_docs long, n_ids long"
 
 
 class LibraryWords(Words):
-    """Words encoded by the tokenizers library, each once."""
+    """Words encoded by the tokenizers library's model, each once: what surrounds a word does not matter to it."""
 
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        super().__init__(path)
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.largest = max(self.library.get_vocab(with_added_tokens=True).values())
+    def take(self, library) -> None:
+        self.model = library.model
+        self.largest = max(library.get_vocab(with_added_tokens=True).values())
+        self.letter_of = dict(enumerate(self.letters))
 
     def learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.library.encode_batch(words, add_special_tokens=False)):
-            self.met[word] = np.array(found.ids, "<u4").tobytes()
+        tokenize, letter_of = self.model.tokenize, self.letter_of
+        for word in words:
+            spelled = word.encode().decode("latin-1").translate(letter_of)
+            self.met[word] = array("I", [token.id for token in tokenize(spelled)]).tobytes()
 
 
 class FileWriter:

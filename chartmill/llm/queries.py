@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from chartmill.llm import html, idfiles, language, licences, maxscore, mixing, neardup, neighbours, repeats, secrets, tokens
+from chartmill.llm import conversations, divergence, html, idfiles, language, licences, maxscore, mixing, neardup, neighbours, repeats, secrets, tokens
 from chartmill.llm.base import ORACLE, QUERIES, query, table
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -131,3 +131,47 @@ def op10_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = idfiles.through_files(table(spark, sf_dir, "documents"), VOCABULARY, end_id=2)
     return docs.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+# The definition term by term, over every term and pair of sources.
+OP11_SQL = r"""
+with d as (
+  select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as doc,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'
+    ) as terms
+  from documents
+), groups as (select distinct lang, source from d
+), used as (select lang, source, doc, unnest(terms) as term from d
+), kept as (select lang, term, count(*)::hugeint as total from used group by all having count(distinct doc) >= 30
+), size as (select lang, count(*) as v, sum(total) as lang_uses from kept group by lang
+), counted as (select lang, source, term, count(*) as n from used group by all
+), cell as (
+  select g.lang, g.source, k.term, coalesce(n, 0)::hugeint as n, k.total
+  from groups g join kept k on k.lang = g.lang left join counted c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), uses as (select lang, source, sum(n) as uses from cell group by all
+), shares as (
+  select c.lang, c.source, c.term, c.n, 1 + (1000000000 * (n + 5)) // (uses + 5 * v) as p, 1 + (1000000000 * (total + 5)) // (lang_uses + 5 * v) as q
+  from cell c join uses u on u.lang = c.lang and u.source = c.source join size s on s.lang = c.lang
+), pairs as (
+  select a.lang, a.source, b.source as item, coalesce(value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join (
+    select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+    from shares a join shares b on a.lang = b.lang and a.term = b.term group by all
+  ) f on f.lang = a.lang and f.source = a.source and f.item = b.source
+), terms as (select lang, source, term as item, (p - q)::bigint as value from shares where n > 0 and p > q
+), parts as (select *, 'pair' as part from pairs union all select *, 'term' as part from terms
+), ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item)::integer as rank from parts)
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
+"""
+
+
+@query("op11_divergence", OP11_SQL)
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_conversations")
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.Repair(conversations.damage(table(spark, sf_dir, "conversations")), present="present").reports()

@@ -29,6 +29,7 @@ OFTEN = 8
 ENTRY = 170  # bytes an entry takes besides its letters and ids
 # Characters whose new words are learned together; one text may be longer.
 TOGETHER = 1_000_000
+LEARNED = 4096  # words learned at a time
 # Fixed value: the split pattern of the vocabulary file, its classes spelled out for Latin-1.
 DIGITS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 LETTERS = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
@@ -65,6 +66,10 @@ class Words:
         self.bytes_of = {c: b for b, c in enumerate(self.letters)}
         self.met: dict[str, bytes] = {}
         self.held = 0
+        self.take(library)
+
+    def take(self, library) -> None:
+        """Keep parts of the library's tokenizer, which is else dropped here."""
 
     def learn(self, words: list[str]) -> None:
         raise NotImplementedError
@@ -98,13 +103,12 @@ class Words:
                 self.forget()
                 met = self.met
         parts = [self.parts(text) for text in texts]
-        new = {w for text in parts for words in text if isinstance(words, list) for w in words if w not in met}
-        if new:
-            self.learn(list(new))
-            self.held += self.size({w: met[w] for w in new})
-        return [
-            b"".join([b"".join([met[w] for w in x]) if isinstance(x, list) else x for x in text]) for text in parts
-        ]
+        new = list(set().union(*[x for text in parts for x in text if isinstance(x, list)]).difference(met))
+        for at in range(0, len(new), LEARNED):
+            self.learn(new[at : at + LEARNED])
+        self.held += self.size({w: met[w] for w in new})
+        known = met.__getitem__
+        return [b"".join([b"".join(map(known, x)) if isinstance(x, list) else x for x in text]) for text in parts]
 
     @staticmethod
     def size(met: dict[str, bytes]) -> int:
