@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from chartmill.functions.columns import days_between, epoch_micros
-from chartmill.operators import timeline
-from chartmill.operators.linkage import interval_join
-from chartmill.operators.skew import join_attributes, join_null_safe
+from chartmill.operators import running, timeline
+from chartmill.operators.running import Measure
 
 # The generic reporting flag among the complication elements, and the useful context.
 GENERIC_COMPLICATION = "AN AQI POST-OP COMPLICATIONS"
@@ -39,34 +38,21 @@ def composite_label(encounters: DataFrame, facts: DataFrame, key: str, classes:
     return encounters.join(flags, key, "left").fillna(False, labels)
 
 
-def before_cutoff(
-    facts: DataFrame, cutoffs: DataFrame, key: str, ts: str, cutoff: str, hot: DataFrame | None = None
-) -> DataFrame:
-    """Only facts strictly before a cut-off of their entity, so features cannot see the outcome.
-
-    A fact comes once for each distinct cut-off it precedes.
-    """
-    lookup = cutoffs.select(key, cutoff).distinct()
-    joined = join_attributes(facts, lookup, [key], "inner", hot)
-    return joined.where(F.col(ts) < F.col(cutoff))
-
-
 def leakage_window(
-    facts: DataFrame, cutoffs: DataFrame, key: str, ts: str, cutoff: str, measures: dict[str, Column],
-    hot: DataFrame | None = None,
+    facts: DataFrame, cutoffs: DataFrame, key: str, ts: str, cutoff: str, measures: dict[str, Measure], **cutting
 ) -> DataFrame:
-    """Aggregates per cut-off over the entity's facts before it; cut-offs without facts keep nulls.
+    """Aggregates per cut-off over the entity's facts strictly before it, so features cannot see the outcome.
 
-    An entity with several cut-offs has features for each, from the facts before that one alone.
+    An entity with several cut-offs has features for each, from the facts before that one alone; without
+    any they are null.  Facts and cut-offs are one timeline (see :mod:`running`), so many cut-offs cost
+    no more than as many facts.
     """
-    kept = before_cutoff(facts, cutoffs, key, ts, cutoff, hot)
-    features = kept.groupBy(key, cutoff).agg(*[value.alias(name) for name, value in measures.items()])
-    return cutoffs.select(key, cutoff).join(features, [key, cutoff], "left")
+    return running.until(cutoffs.select(key, cutoff), facts, [key], cutoff, ts, measures, **cutting)
 
 
 def rise_label(
     series: DataFrame, encounters: DataFrame, key: str, ts: str, value: str, start: str, stop: str,
-    window_seconds: int, absolute: float, relative: float, hot: DataFrame | None = None,
+    window_seconds: int, absolute: float, relative: float, **cutting,
 ) -> DataFrame:
     """Does a measure rise after a procedure against the last value before it?
 
@@ -74,18 +60,13 @@ def rise_label(
     the window after ``stop``.  The label is null when either is missing.  Each procedure of an entity
     is judged by its own times: the result has the key, ``start``, ``stop`` and what was found.
     """
-    lookup = encounters.select(key, start, stop).distinct()
+    cases = encounters.select(key, start, stop)
     usable = series.where(F.col(value).isNotNull())
-    joined = join_attributes(usable, lookup, [key], "inner", hot)
-    before = F.col(ts) < F.col(start)
-    micros = epoch_micros(F.col(ts)) - epoch_micros(F.col(stop))
-    after = (micros > 0) & (micros <= F.lit(window_seconds * 1_000_000))
-    found = joined.where(before | after).groupBy(key, start, stop).agg(
-        F.max_by(value, F.when(before, F.struct(ts, value))).alias("baseline"),
-        F.max(F.when(after, F.col(value))).alias("peak"),
-    )
+    before = {"baseline": running.latest(F.col(value), F.col(ts))}
+    based = running.until(cases, usable, [key], start, ts, before, **cutting)
+    found = running.greatest_within(based, usable, [key], stop, ts, value, window_seconds, "peak", **cutting)
     risen = (F.col("peak") - F.col("baseline") >= absolute) | (F.col("peak") >= F.col("baseline") * F.lit(relative))
-    return join_null_safe(encounters.select(key, start, stop), found, [key, start, stop]).withColumn("risen", risen)
+    return found.withColumn("risen", risen)
 
 
 def threshold_breach_ahead(
@@ -118,7 +99,7 @@ def history_features(df: DataFrame, keys: Sequence[str], order: Sequence[str], *
     """Number of earlier events of the entity and days since the last one."""
     ts = order[0]
     steps = {"_position": timeline.position_step(keys, order), "_previous": timeline.neighbour_step(keys, order, [ts])}
-    timed = timeline.extend(df, keys, ts, steps, **cutting)
+    timed = timeline.extend(df, keys, order, steps, **cutting)
     return timed.withColumn("prior_events", F.col("_position") - 1).withColumn(
         "days_since_previous", days_between(F.col(f"_previous.{ts}"), F.col(ts))
     ).drop("_position", "_previous")
@@ -139,16 +120,17 @@ def wide_features(summary: DataFrame, keys: Sequence[str], measure: str, names:
 
 def exposure_flag(
     encounters: DataFrame, facts: DataFrame, key: str, ts: str, start: str, stop: str, classes: Sequence[str],
-    class_column: str, slice_seconds: int = timeline.DAY,
+    class_column: str, **cutting,
 ) -> DataFrame:
-    """Was any item of each class recorded within the encounter's time window?"""
+    """Was any item of each class recorded within the encounter's time window, ends included?
+
+    It was exactly when the last one up to the end is not before the start, so no pair of fact and
+    encounter is formed.  A window without start or end, or ending before it starts, has no items.
+    """
     wanted = facts.where(F.col(class_column).isin(list(classes)))
-    seen = interval_join(wanted, encounters.select(key, start, stop), key, ts, start, stop, slice_seconds)
-    flags = seen.groupBy(key, start, stop).agg(
-        *[F.max(F.col(class_column) == name).alias(f"exposed_{name}") for name in classes]
-    )
-    joined = encounters.join(flags, [key, start, stop], "left")
-    return joined.fillna(False, [f"exposed_{name}" for name in classes])
+    last = {f"exposed_{name}": running.greatest(F.when(F.col(class_column) == name, F.col(ts))) for name in classes}
+    found = running.until(encounters, wanted, [key], stop, ts, last, strictly_before=False, **cutting)
+    return found.withColumns({name: F.coalesce(F.col(name) >= F.col(start), F.lit(False)) for name in last})
 
 
 def attributable(facts: DataFrame, encounters: DataFrame, entity: str, encounter: str) -> DataFrame:

@@ -1,13 +1,14 @@
-"""Order-dependent steps over long timelines, split by time where needed.
+"""Order-dependent steps over long timelines, cut into equal slices where needed.
 
 A window over one entity sorts all of its rows in one task, which is fine until one entity holds a
-large share of the rows.  Entities above a row limit are therefore cut into time slices: a window
-runs within (entity, slice), each slice is reduced to one summary row, and what a slice needs from
-the others is computed over the summaries and joined back.  All other entities stay in one piece and
-have nothing to carry.
-
-Rows without a time come last, in a slice of their own.  Rows without an entity form one timeline, as
-they form one partition of a window; like any other it is cut only if it is hot.
+large share of the rows.  Entities above a row limit are therefore cut into slices of about equal
+numbers of rows, at borders taken from a sample of their rows; a border is a whole order tuple, so
+rows of one instant, or without a time, are cut too.  A window runs within (entity, slice), each slice
+is reduced to one summary row, and what a slice needs from the others is computed over the summaries
+and joined back.  All other entities stay in one piece and have nothing to carry.
+
+Rows without a time come last.  Rows without an entity form one timeline, as they form one partition
+of a window; like any other it is cut only if it is hot.
 """
 
 from __future__ import annotations
@@ -18,20 +19,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chartmill.functions.columns import epoch_micros
-from chartmill.operators.skew import HOT_KEY_ROWS, PARTS, hot_keys, join_null_safe
+from chartmill.operators.skew import HOT_KEY_ROWS, join_null_safe
 
-HOUR = 3_600
-DAY = 24 * HOUR
+DAY = 24 * 3_600
 
 SLICE = "_slice"
 HOT = "_hot"
-_NO_TIME = 2**62
-
-
-def slice_of(ts: Column, seconds: int) -> Column:
-    """Number of the time slice a moment falls into."""
-    micros = epoch_micros(ts)
-    return F.coalesce((micros - F.pmod(micros, F.lit(seconds * 1_000_000))), F.lit(_NO_TIME))
+# An entity is cut into so many slices at most, its borders being taken from so many sampled rows per slice.
+MOST_SLICES = 4096
+PER_SLICE = 64
+# Borders are looked up in two steps: first among every so-manieth of them.
+STEP = 64
 
 
 def _ascending(order: Sequence[str]) -> list[Column]:
@@ -72,21 +70,48 @@ class Step:
     combine: Callable[[Column, Column], Column]
 
 
-def _cut(df: DataFrame, keys: Sequence[str], ts: str, slice_seconds: int, hot_rows: int) -> DataFrame:
-    """Number the slice of each row: by time for hot entities, one slice for any other."""
-    marks = hot_keys(df, keys, hot_rows).withColumn(HOT, F.lit(True)).drop(PARTS)
-    return join_null_safe(df, marks, keys).withColumn(
-        SLICE, F.when(F.col(HOT), slice_of(F.col(ts), slice_seconds)).otherwise(F.lit(0))
+def _borders(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
+    """Per hot entity the order tuples at which slices begin, every ``STEP`` of them in an array of their own.
+
+    The sample is chosen by a hash of the tuple, so a repeated task, and every use of the plan, finds the
+    same borders.  Its size depends on the number of slices, not on the number of rows.
+    """
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    slices = F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MOST_SLICES)).cast("int")
+    hot = counts.select(*keys, slices.alias("_slices"), (slices * PER_SLICE / F.col("_n")).alias("_rate"))
+    chance = F.pmod(F.xxhash64(F.lit(11), *order), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = join_null_safe(df.select(*keys, *order), hot, keys, "inner").where(chance < F.col("_rate"))
+    sorted_ = sample.groupBy(*keys, "_slices").agg(F.sort_array(F.collect_list(_sort_key(order))).alias("_sample"))
+    picked = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.col("_slices") - 1, F.lit(1))),
+        lambda i: F.get(F.col("_sample"), F.floor(i * F.size("_sample") / F.col("_slices")).cast("int")),
     )
+    flat = sorted_.select(*keys, F.array_distinct(picked).alias("_flat"))
+    chunks = F.transform(F.sequence(F.lit(1), F.size("_flat"), F.lit(STEP)), lambda at: F.slice(F.col("_flat"), at, F.lit(STEP)))
+    return flat.select(*keys, chunks.alias("_borders"))
+
+
+def _place(order: Sequence[str]) -> Column:
+    """The number of borders at or below a row."""
+    here = _sort_key(order)
+    chunk = F.size(F.filter("_borders", lambda borders: F.get(borders, F.lit(0)) <= here))
+    inside = F.size(F.filter(F.get("_borders", chunk - 1), lambda border: border <= here))
+    return F.when(chunk == 0, F.lit(0)).otherwise((chunk - 1) * STEP + inside)
+
+
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
+    """Number the slice of each row: by the borders for hot entities, one slice for any other."""
+    cut = join_null_safe(df, _borders(df, keys, order, hot_rows), keys)
+    hot = F.col("_borders").isNotNull()
+    return cut.withColumns({HOT: hot, SLICE: F.when(hot, _place(order)).otherwise(F.lit(0))}).drop("_borders")
 
 
 def extend(
-    df: DataFrame, keys: Sequence[str], ts: str, steps: dict[str, Step], slice_seconds: int = HOUR,
-    hot_rows: int = HOT_KEY_ROWS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], steps: dict[str, Step], hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Add the given steps in one pass: one shuffle of the rows, and small ones for hot entities."""
+    """Add the given steps, all in one order, in one pass: one shuffle of the rows, and small ones for hot entities."""
     keys = list(keys)
-    cut = _cut(df, keys, ts, slice_seconds, hot_rows)
+    cut = _cut(df, keys, order, hot_rows)
     per_slice = cut.where(HOT).groupBy(*keys, SLICE).agg(*[step.summary.alias(f"_s_{name}") for name, step in steps.items()])
     carried = per_slice.select(*keys, SLICE, *[step.across(f"_s_{name}").alias(f"_c_{name}") for name, step in steps.items()])
     rows = cut.drop(HOT).withColumns({f"_w_{name}": step.within for name, step in steps.items()})
@@ -133,8 +158,29 @@ def last_known_step(keys: Sequence[str], order: Sequence[str], value: str) -> St
     )
 
 
+# The running aggregates that merge by themselves: what Spark calls them, and how two results become one.
+FOLDS: dict[str, tuple[Callable[[Column | str], Column], Callable[[Column, Column], Column]]] = {
+    "sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)),
+    "min": (F.min, F.least),
+    "max": (F.max, F.greatest),
+}
+
+
+def running_step(keys: Sequence[str], order: Sequence[str], fold: str, value: Column, following: bool = False) -> Step:
+    """Sum, min or max of the known values up to the row (or from the row on, itself included)."""
+    aggregate, merge = FOLDS[fold]
+    inside = _in_slice(keys, _descending(order) if following else _ascending(order))
+    slices = Window.partitionBy(*keys).orderBy(F.col(SLICE).desc() if following else F.col(SLICE).asc())
+    return Step(
+        within=aggregate(value).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
+        summary=aggregate(value),
+        across=lambda parts: aggregate(parts).over(slices.rowsBetween(Window.unboundedPreceding, -1)),
+        combine=merge,
+    )
+
+
 def next_time_step(keys: Sequence[str], ts: str, when: Column) -> Step:
-    """The first strictly later moment at which a condition holds.
+    """The first strictly later moment at which a condition holds; slices must not part rows of one instant.
 
     The running frame goes backwards in time: Spark recomputes a frame that is open to the end for
     every row, but extends one that is open to the start.
@@ -154,32 +200,32 @@ def neighbour(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Sequence[str], name: str,
     following: bool = False, **cutting,
 ) -> DataFrame:
-    return extend(df, keys, order[0], {name: neighbour_step(keys, order, take, following)}, **cutting)
+    return extend(df, keys, order, {name: neighbour_step(keys, order, take, following)}, **cutting)
 
 
 def position(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position", **cutting
 ) -> DataFrame:
-    return extend(df, keys, order[0], {name: position_step(keys, order)}, **cutting)
+    return extend(df, keys, order, {name: position_step(keys, order)}, **cutting)
 
 
 def last_known(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str, **cutting
 ) -> DataFrame:
-    return extend(df, keys, order[0], {name: last_known_step(keys, order, value)}, **cutting)
+    return extend(df, keys, order, {name: last_known_step(keys, order, value)}, **cutting)
 
 
 def next_time(df: DataFrame, keys: Sequence[str], ts: str, when: Column, name: str, **cutting) -> DataFrame:
-    return extend(df, keys, ts, {name: next_time_step(keys, ts, when)}, **cutting)
+    """Rows of one instant stay in one slice; rows without a time find nothing and are cut by their content."""
+    known = F.when(F.col(ts).isNull(), F.xxhash64(*df.columns))
+    cut = extend(df.withColumn("_spread", known), keys, [ts, "_spread"], {name: next_time_step(keys, ts, when)}, **cutting)
+    return cut.withColumn(name, F.when(F.col(ts).isNotNull(), F.col(name))).drop("_spread")
 
 
-def runs(
-    df: DataFrame, keys: Sequence[str], label: str, order: Sequence[str], slice_seconds: int = HOUR,
-    hot_rows: int = HOT_KEY_ROWS,
-) -> DataFrame:
+def runs(df: DataFrame, keys: Sequence[str], label: str, order: Sequence[str], hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Number the runs of consecutive equal labels within a timeline, from 1 (column ``run``)."""
     keys = list(keys)
-    cut = _cut(df, keys, order[0], slice_seconds, hot_rows)
+    cut = _cut(df, keys, order, hot_rows)
     within = _in_slice(keys, _ascending(order))
     # A row starts a run when its label differs from the row before; the first row of a slice is
     # compared with the last row of the slice before it.

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from chartmill.operators import aggregate, gold
+from chartmill.operators import aggregate, gold, running
 from queries.base import query
 from queries.linkage import _signup_windows
 
@@ -77,7 +77,8 @@ def leakage_window(read, spark):
     events = read("events")
     cutoffs = events.where("event_type = 'purchase'").groupBy("user_id").agg(F.min("ts").alias("cutoff"))
     measures = {
-        "n_before": F.count(F.lit(1)), "hundredths": F.sum(F.round(F.col("value") * 100).cast("bigint")), "last_ts": F.max("ts"),
+        "n_before": running.count(), "hundredths": running.total(F.round(F.col("value") * 100).cast("bigint")),
+        "last_ts": running.greatest(F.col("ts")),
     }
     return gold.leakage_window(events.select("user_id", "ts", "value"), cutoffs, "user_id", "ts", "cutoff", measures)
 

@@ -6,12 +6,12 @@ with the same SQL.
 
 from pyspark.sql import functions as F
 
-from chartmill.operators import dedup, gold, linkage, skew
+from chartmill.operators import dedup, gold, linkage, running, skew
 from queries.base import query
 
 _EVENTS = "e AS (SELECT event_id, ts, event_type, value, CASE WHEN user_id % 4 > 0 THEN user_id END AS who FROM events)"
 # At most so many rows in a part: nearly every key is hot.
-FEW = {"hot_rows": 2, "slice_seconds": 6 * 3600}
+FEW = {"hot_rows": 2}
 
 
 def events_of(read):
@@ -88,8 +88,42 @@ def hot_of(facts, cutting):
 def leakage(read, cutting):
     rows = events_of(read)
     cuts = rows.where("event_type = 'signup'").select("who", F.col("ts").alias("cutoff")).distinct()
-    measures = {"n_before": F.count(F.lit(1)), "last_ts": F.max("ts")}
-    return gold.leakage_window(rows.select("who", "ts"), cuts, "who", "ts", "cutoff", measures, hot_of(rows, cutting))
+    measures = {"n_before": running.count(), "last_ts": running.greatest(F.col("ts"))}
+    return gold.leakage_window(rows.select("who", "ts"), cuts, "who", "ts", "cutoff", measures, **cutting)
+
+
+_HALVES = "h AS (SELECT user_id % 2 AS half, ts, value FROM events), c AS (SELECT DISTINCT user_id % 2 AS half, ts AS cutoff FROM events WHERE event_type = 'purchase')"
+
+
+def halves(read):
+    """Two entities with very many facts and cut-offs."""
+    rows = read("events").select((F.col("user_id") % 2).alias("half"), "ts", "event_type", "value")
+    cuts = rows.where("event_type = 'purchase'").select("half", F.col("ts").alias("cutoff")).distinct()
+    return rows, cuts
+
+
+@both_ways("leakage_many_cutoffs", f"""
+    WITH {_HALVES}, u AS (
+      SELECT half, ts, 1 AS side, value, NULL AS cutoff FROM h UNION ALL SELECT half, cutoff, 0, NULL, cutoff FROM c),
+    r AS (SELECT half, cutoff, sum(side) OVER w AS n_before, max(value) OVER w AS greatest, min(value) OVER w AS least FROM u
+          WINDOW w AS (PARTITION BY half ORDER BY ts, side ROWS UNBOUNDED PRECEDING))
+    SELECT half, cutoff, CAST(nullif(n_before, 0) AS BIGINT) AS n_before, greatest, least FROM r WHERE cutoff IS NOT NULL""")
+def many_cutoffs(read, cutting):
+    rows, cuts = halves(read)
+    value = F.col("value")
+    measures = {"n_before": running.count(), "greatest": running.greatest(value), "least": running.least(value)}
+    return gold.leakage_window(rows.select("half", "ts", "value"), cuts, "half", "ts", "cutoff", measures, **cutting)
+
+
+@both_ways("exposure_many_windows", f"""
+    WITH {_HALVES}, x AS (SELECT user_id % 2 AS half, ts, event_type FROM events)
+    SELECT half, cutoff, EXISTS (FROM x WHERE x.half = c.half AND event_type = 'click' AND ts BETWEEN cutoff AND cutoff + INTERVAL 20 MINUTE) AS exposed_click,
+      EXISTS (FROM x WHERE x.half = c.half AND event_type = 'signup' AND ts BETWEEN cutoff AND cutoff + INTERVAL 20 MINUTE) AS exposed_signup
+    FROM c""")
+def many_windows(read, cutting):
+    rows, cuts = halves(read)
+    windows = cuts.withColumn("until", F.col("cutoff") + F.expr("INTERVAL '20' MINUTE"))
+    return gold.exposure_flag(windows, rows, "half", "ts", "cutoff", "until", ["click", "signup"], "event_type", **cutting).drop("until")
 
 
 @both_ways("rise_repeated_key", f"""
@@ -103,7 +137,7 @@ def rises(read, cutting):
     rows = events_of(read)
     cases = rows.where("event_type = 'signup'").select("who", F.col("ts").alias("start_ts")).distinct()
     cases = cases.withColumn("stop_ts", F.col("start_ts") + F.expr("INTERVAL '3' DAY"))
-    found = gold.rise_label(rows.select("who", "ts", "value"), cases, "who", "ts", "value", "start_ts", "stop_ts", 2 * 86400, 5.0, 1.5, hot_of(rows, cutting))
+    found = gold.rise_label(rows.select("who", "ts", "value"), cases, "who", "ts", "value", "start_ts", "stop_ts", 2 * 86400, 5.0, 1.5, **cutting)
     return found.drop("stop_ts")
 
 

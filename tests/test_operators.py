@@ -10,7 +10,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from chartmill.functions import columns as C
-from chartmill.operators import aggregate, clean, dedup, events, gold, linkage, quality, skew, timeline
+from chartmill.operators import aggregate, clean, dedup, events, gold, linkage, quality, running, skew, timeline
 from chartmill.sources import scans
 
 T0 = dt.datetime(2020, 1, 1)
@@ -182,11 +182,11 @@ def ordered(rows, entity):
     return sorted((r for r in rows if r[0] == entity), key=lambda r: (r[1] is None, r[1] or T0, r[2]))
 
 
-@pytest.mark.parametrize("seconds, hot_rows", [(60, 1), (3600, 65), (3600, 1_000_000)])
-def test_timeline_steps_match_brute_force(spark, seconds, hot_rows):
+@pytest.mark.parametrize("seed, hot_rows", [(60, 1), (61, 7), (3600, 65), (3600, 1_000_000)])
+def test_timeline_steps_match_brute_force(spark, seed, hot_rows):
     """All entities cut, some of them, none."""
-    rows = random_timeline(seconds) + [(None, at(5), 1000 + i, "a", i) for i in range(3)]
-    cutting = {"slice_seconds": seconds, "hot_rows": hot_rows}
+    rows = random_timeline(seed) + [(None, at(5), 1000 + i, "a", i) for i in range(3)]
+    cutting = {"hot_rows": hot_rows}
     df = spark.createDataFrame(rows, "e int, ts timestamp_ntz, id int, label string, v int").repartition(5)
     order = ["ts", "id"]
     previous = {r.id: r.p.id if r.p else None for r in timeline.neighbour(df, ["e"], order, ["id"], "p", **cutting).collect()}
@@ -219,13 +219,74 @@ def test_as_of(spark, strict):
     series = [(rng.randrange(2), at(rng.randrange(300)), float(rng.randrange(9))) for _ in range(80)]
     got = {r.id: r.found for r in linkage.as_of(
         spark.createDataFrame(refs, "id int, e int, t timestamp_ntz"), spark.createDataFrame(series, "e int, ts timestamp_ntz, v double"),
-        ["e"], "t", "ts", "v", "found", strict, slice_seconds=3600, hot_rows=10).collect()}
+        ["e"], "t", "ts", "v", "found", strict, hot_rows=10).collect()}
     assert len(got) == 40
     for i, e, t in refs:
         past = [(ts, v) for se, ts, v in series if se == e and (ts < t or (not strict and ts == t))]
         assert got[i] == (max(past)[1] if past else None)
 
 
+def moments(n, seed, entities=2, span=300):
+    rng = random.Random(seed)
+    return [(i, rng.choice([*range(entities), None]), at(rng.choice([rng.randrange(span), None] + [rng.randrange(span)] * 8)), rng.choice([None, 1.0, 2.0, float(rng.randrange(50))])) for i in range(n)]
+
+
+@pytest.mark.parametrize("strict, hot_rows", [(True, 1_000_000), (True, 3), (False, 3), (False, 40)])
+def test_measures_until_a_moment(spark, strict, hot_rows):
+    refs, facts = moments(60, 1), moments(150, 2)
+    df = spark.createDataFrame(facts, "id int, e int, ts timestamp_ntz, v double").repartition(4)
+    asked = spark.createDataFrame([r[:3] for r in refs] + [refs[0][:3]], "id int, e int, t timestamp_ntz")
+    v, ts = F.col("v"), F.col("ts")
+    measures = {
+        "n": running.count(), "known": running.count(v), "total": running.total(v), "mean": running.mean(v), "least": running.least(v),
+        "greatest": running.greatest(v), "latest": running.latest(v, ts), "earliest": running.earliest(v, ts),
+    }
+    found = running.until(asked, df, ["e"], "t", "ts", measures, strict, hot_rows=hot_rows).collect()
+    assert sorted(r.id for r in found) == sorted([r[0] for r in refs] + [0])
+    by_id = {r[0]: r for r in refs}
+    for row in found:
+        _, e, t, _ = by_id[row.id]
+        past = [f for f in facts if None not in (e, t, f[2]) and f[1] == e and (f[2] < t or (not strict and f[2] == t))]
+        known = [f for f in past if f[3] is not None]
+        values = [f[3] for f in known]
+        assert tuple(row)[3:] == (
+            len(past) or None, len(known) if past else None, sum(values) if known else None, pytest.approx(sum(values) / len(values)) if known else None,
+            min(values, default=None), max(values, default=None), max((f[2], f[3]) for f in known)[1] if known else None,
+            min((f[2], f[3]) for f in known)[1] if known else None,
+        )
+
+
+@pytest.mark.parametrize("seconds, hot_rows", [(600, 1_000_000), (600, 4), (7200, 4), (60, 1)])
+def test_greatest_within(spark, seconds, hot_rows):
+    refs, facts = moments(60, 3), moments(150, 4)
+    df = spark.createDataFrame(facts, "id int, e int, ts timestamp_ntz, v double").repartition(4)
+    asked = spark.createDataFrame([r[:3] for r in refs] + [refs[0][:3]], "id int, e int, t timestamp_ntz")
+    found = running.greatest_within(asked, df, ["e"], "t", "ts", "v", seconds, "peak", hot_rows=hot_rows).collect()
+    assert sorted(r.id for r in found) == sorted([r[0] for r in refs] + [0])
+    for row in found:
+        e, t = row.e, row.t
+        ahead = [f[3] for f in facts if None not in (e, t, f[2], f[3]) and f[1] == e and t < f[2] <= t + dt.timedelta(seconds=seconds)]
+        assert row.peak == max(ahead, default=None)
+
+
+def test_a_thousand_cutoffs_on_one_key(spark):
+    facts = spark.range(3000).select(F.lit("k").alias("k"), F.timestamp_micros(F.col("id") * 1000).cast("timestamp_ntz").alias("ts"))
+    cuts = spark.range(1000).select(F.lit("k").alias("k"), F.timestamp_micros(F.col("id") * 3000).cast("timestamp_ntz").alias("c"), (F.col("id") * 3).alias("n_true"))
+    for hot_rows in (1_000_000, 100):
+        plan = running.until(cuts, facts, ["k"], "c", "ts", {"n": running.count()}, hot_rows=hot_rows)
+        assert plan.where("coalesce(n, 0) <> n_true").count() == 0 and plan.count() == 1000
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_slices_are_even_even_without_times(spark):
+    """One entity whose rows have no time, or all the same: borders lie between the other columns of the order."""
+    for time in ("NULL", "TIMESTAMP_NTZ'2020-01-01'"):
+        df = spark.range(6000).selectExpr("1 AS e", f"cast({time} AS timestamp_ntz) AS ts", "id")
+        sizes = [r[1] for r in timeline._cut(df, ["e"], ["ts", "id"], 500).groupBy(timeline.SLICE).count().collect()]
+        assert len(sizes) == 12 and max(sizes) < 1000
+
+
 def test_interval_join(spark):
     rng = random.Random(6)
     facts = [(i, rng.randrange(3), at(rng.randrange(5000))) for i in range(120)] + [(999, 0, None)]
@@ -366,16 +427,16 @@ def test_checkpoints(spark):
 def test_rise_and_window(spark):
     series = spark.createDataFrame([("a", at(0), 1.0), ("a", at(5), 1.0), ("a", at(5), 1.1), ("a", at(30), 1.6), ("a", at(9000), 9.0), ("b", at(0), 2.0)], "k string, ts timestamp_ntz, v double")
     cases = spark.createDataFrame([("a", at(10), at(20)), ("b", at(10), at(20)), ("c", at(10), at(20))], "k string, s timestamp_ntz, e timestamp_ntz")
-    got = {r.k: (r.baseline, r.peak, r.risen) for r in gold.rise_label(series, cases, "k", "ts", "v", "s", "e", 3600, 0.3, 1.5, hot=skew.hot_keys(series, ["k"], 1)).collect()}
+    got = {r.k: (r.baseline, r.peak, r.risen) for r in gold.rise_label(series, cases, "k", "ts", "v", "s", "e", 3600, 0.3, 1.5, hot_rows=1).collect()}
     assert got == {"a": (1.1, 1.6, True), "b": (2.0, None, None), "c": (None, None, None)}
-    seen = gold.leakage_window(series, cases.select("k", "s"), "k", "ts", "s", {"n": F.count(F.lit(1))}, skew.hot_keys(series, ["k"], 1))
+    seen = gold.leakage_window(series, cases.select("k", "s"), "k", "ts", "s", {"n": running.count()}, hot_rows=1)
     assert values(seen, "k", "n") == [("a", 3), ("b", 1), ("c", None)]
 
 
 def test_repeated_keys_keep_to_their_own_times(spark):
     series = spark.createDataFrame([("a", at(0), 1.0), ("a", at(50), 5.0), ("a", at(70), 9.0), (None, at(0), 7.0)], "k string, ts timestamp_ntz, v double")
     cases = spark.createDataFrame([("a", at(10), at(20)), ("a", at(60), at(65)), (None, at(10), at(20))], "k string, s timestamp_ntz, e timestamp_ntz")
-    cut = gold.leakage_window(series, cases.select("k", "s"), "k", "ts", "s", {"n": F.count(F.lit(1))})
+    cut = gold.leakage_window(series, cases.select("k", "s"), "k", "ts", "s", {"n": running.count()})
     assert sorted((r.k or "", r.s, r.n) for r in cut.collect()) == [("", at(10), None), ("a", at(10), 1), ("a", at(60), 2)]
     risen = gold.rise_label(series, cases, "k", "ts", "v", "s", "e", 3600, 0.3, 1.5)
     assert sorted((r.k or "", r.s, r.baseline, r.peak) for r in risen.collect()) == [("", at(10), None, None), ("a", at(10), 1.0, 9.0), ("a", at(60), 5.0, 9.0)]
