@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
@@ -181,6 +182,73 @@ def days_between(start: Column, end: Column) -> Column:
     return F.datediff(end.cast("date"), start.cast("date")).cast("bigint")
 
 
+# The layout of a double, and the step between times packed above 64-bit values.
+_FRACTION, _LEAST_EXPONENT, _INFINITE = 2**52, -1022, 2047 * 2**52
+_STEP = Decimal(2**64)
+_UNKNOWN_TIME = -5 * 10**18
+
+
+def order_code(value: Column) -> Column:
+    """A double as a 64-bit whole number in the same order, -0.0 being 0.0 and NaN the largest.
+
+    It is the number's own bit pattern, found by arithmetic that rounds nothing: the exponent is guessed
+    from the logarithm and put right by comparison, and division by a power of two is exact.
+    """
+    size = F.abs(value)
+    guess = F.coalesce(F.floor(F.log2(size)).cast("int"), F.lit(_LEAST_EXPONENT))
+    near = F.greatest(F.least(guess, F.lit(1023)), F.lit(_LEAST_EXPONENT))
+    down = (size < F.pow(F.lit(2.0), near)).cast("int")
+    up = ((near < 1023) & (size / F.pow(F.lit(2.0), near) >= 2.0)).cast("int")
+    exponent = F.greatest(near - down + up, F.lit(_LEAST_EXPONENT))
+    finite = (exponent - _LEAST_EXPONENT).cast("long") * _FRACTION + (size / F.pow(F.lit(2.0), exponent) * float(_FRACTION)).cast("long")
+    code = F.when(size == F.lit(float("inf")), F.lit(_INFINITE)).otherwise(finite)
+    return F.when(F.isnan(value), F.lit(_INFINITE + 1)).when(value < 0, -code).otherwise(code)
+
+
+def from_order_code(code: Column) -> Column:
+    """The double behind an :func:`order_code`."""
+    size = F.abs(code)
+    exponent = F.floor(size / F.lit(_FRACTION)).cast("int")
+    exponent = F.when(exponent.cast("long") * _FRACTION > size, exponent - 1).otherwise(exponent)
+    rest = (size - exponent.cast("long") * _FRACTION).cast("double") / float(_FRACTION)
+    finite = F.when(exponent == 0, rest * F.pow(F.lit(2.0), F.lit(_LEAST_EXPONENT))).otherwise(
+        (1.0 + rest) * F.pow(F.lit(2.0), exponent - 1 - F.lit(-_LEAST_EXPONENT))
+    )
+    whole = F.when(size == _INFINITE, F.lit(float("inf"))).otherwise(F.when(size < _INFINITE, finite))
+    return F.when(size > _INFINITE, F.lit(float("nan"))).when(code < 0, -whole).otherwise(whole)
+
+
+def packed(ts: Column, code: Column) -> Column:
+    """A time and a 64-bit value as one decimal in the order of (time, value), no time being the earliest.
+
+    A decimal is of fixed width, so groups keep their largest one in a hash aggregate; a struct would sort.
+    """
+    micros = F.coalesce(epoch_micros(ts), F.lit(_UNKNOWN_TIME)).cast("decimal(19,0)")
+    return (micros * F.lit(_STEP) + code.cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
+def unpacked(pair: Column) -> Column:
+    """The value of a :func:`packed` pair."""
+    half = F.lit(_STEP / 2)
+    return (F.pmod(pair + half, F.lit(_STEP)) - half).cast("long")
+
+
+def extremes(columns: Iterable[str], when: Column | None = None) -> list[Column]:
+    """Aggregates: smallest and largest of two 64-bit hashes of a tuple, over rows where a condition holds.
+
+    Whether fields are null is hashed too, because a hash passes over nulls: a null field is a value.
+    """
+    values = [F.col(name) for name in columns]
+    hashes = [F.xxhash64(*seed, *values, *[v.isNull() for v in values]) for seed in ((), (F.lit(1),))]
+    return [edge(h if when is None else F.when(when, h)) for h in hashes for edge in (F.min, F.max)]
+
+
+def apart(prefix: str, n: int) -> Column:
+    """Do the extremes, in columns named by a prefix and a number, tell of more than one value?"""
+    pairs = [F.coalesce(F.col(f"{prefix}{i}") != F.col(f"{prefix}{i + 1}"), F.lit(False)) for i in range(0, n, 2)]
+    return reduce(lambda a, b: a | b, pairs)
+
+
 def differs(column: str) -> Column:
     """Aggregate: does the group hold more than one value, null counting as a value?
 

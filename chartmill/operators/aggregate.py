@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from chartmill.functions import columns as C
 from chartmill.operators.skew import join_null_safe
+from chartmill.session import written
+
 
 def totals(df: DataFrame, measures: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """Named aggregates, overall or per group, in one pass."""
@@ -24,13 +28,21 @@ def safe_total(df: DataFrame, by: Sequence[str], quantity: str) -> DataFrame:
 
 
 def summary_by_group(df: DataFrame, keys: Sequence[str], value: str, ts: str) -> DataFrame:
-    """n, mean, min, max and the latest value per group; of several latest values the largest counts."""
+    """n, mean, min, max and the latest value per group; of several latest values the largest counts.
+
+    Time and number are packed into one of fixed width, so the whole summary is kept by hash; only values
+    that are no numbers, or times of another kind, are compared as pairs.
+    """
+    kinds = dict(df.dtypes)
+    whole = kinds[value] in ("tinyint", "smallint", "int", "bigint")
+    if kinds[ts].startswith("timestamp") and (whole or kinds[value] in ("float", "double")):
+        number = F.col(value).cast("long") if whole else C.order_code(F.col(value).cast("double"))
+        code = C.unpacked(F.max(C.packed(F.col(ts), number)))
+        last = (code if whole else C.from_order_code(code)).cast(kinds[value])
+    else:
+        last = F.max_by(value, F.struct(ts, value))
     return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.max_by(value, F.struct(ts, value)).alias("last"),
+        F.count(value).alias("n"), F.avg(value).alias("mean"), F.min(value).alias("min"), F.max(value).alias("max"), last.alias("last"),
     )
 
 
@@ -79,25 +91,111 @@ def sentinel_share(
 # --- distributions ------------------------------------------------------------------------------
 
 
+# Distinct values of a group that may lie inside its brackets when ranks are resolved among them in one task.
+MOST_VALUES = 100_000
+# Ranges into which an overfull group of values is counted at a time.
+RANGES = 256
+
+
+def _margins(points: Sequence[float], accuracy: int) -> tuple[list[float], list[float]]:
+    """Where to ask a sketch for the ends of the brackets; its rank error is one in ``accuracy``."""
+    margin = 4.0 / accuracy
+    return [max(0.0, p - margin) for p in points], [min(1.0, p + margin) for p in points]
+
+
+def _place(v: Column, brackets: Sequence[tuple[Column, Column]]) -> tuple[Column, Column]:
+    """Is a value outside all brackets, and what it is filed under: itself, or the bracket below its gap.
+
+    All values of a gap become one line, placed after the bracket below it (or first, with a null floor).
+    """
+    inside, floor = F.lit(False), F.lit(None).cast("double")
+    for low, high in brackets:
+        inside = inside | ((v >= low) & (v <= high))
+        floor = F.greatest(floor, F.when(v > high, high))
+    return ~inside, F.when(inside, v).otherwise(floor)
+
+
+def _through(groups: Sequence[str]) -> Column:
+    order = Window.partitionBy(*groups).orderBy(F.col("_v").asc_nulls_first(), "_gap")
+    return F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0))
+
+
+def _covers(rank: Column) -> Column:
+    return (F.col("_through") - F.col("_n") <= rank) & (rank < F.col("_through"))
+
+
+def _narrowed(counted: DataFrame, groups: Sequence[str], points: Sequence[float], most: int) -> DataFrame:
+    """Merge lines that cannot hold a wanted rank until no group has more than ``most`` lines.
+
+    Each round cuts the lines of a group at sketched quantiles of its distinct values into ``RANGES`` ranges,
+    adds up each, and keeps the lines of the few ranges in which a wanted rank lies; the ranges between
+    them become one line.  Distinct values fall into ranges of nearly equal numbers whatever their
+    distribution, so a round leaves a small share of them.  The driver learns one number a round.
+    """
+    most = max(most, 6 * len(points) + 2)  # the wanted ranks' own lines and the gaps between them always stay
+    ranks = [f((F.col("_total") - 1) * F.lit(p)) for p in points for f in (F.floor, F.ceil)]
+    while True:
+        counted = written(counted, "quantiles")
+        lines = counted.groupBy(*groups).agg(F.count(F.lit(1)).alias("_lines")).agg(F.max("_lines").alias("n")).first().n or 0
+        if lines <= most:
+            return counted
+        edges = counted.groupBy(*groups).agg(F.percentile_approx("_v", [i / RANGES for i in range(1, RANGES)], 20 * RANGES).alias("_edges"))
+        cell = F.when(F.col("_v").isNull(), F.lit(-1)).otherwise(F.size(F.filter("_edges", lambda e: e <= F.col("_v"))))
+        placed = join_null_safe(counted, edges, groups).withColumn("_cell", cell)
+        sums = placed.groupBy(*groups, "_total", "_cell").agg(F.sum("_n").alias("_n"), F.max("_v").alias("_top"))
+        order = Window.partitionBy(*groups).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)  # over ranges, not values
+        wanted = reduce(or_, [_covers(rank) for rank in ranks])
+        judged = sums.withColumn("_through", F.sum("_n").over(order)).withColumn("_wanted", wanted)
+        judged = judged.withColumn("_before", F.sum(F.col("_wanted").cast("int")).over(order))
+        passed = judged.where(~F.col("_wanted")).groupBy(*groups, "_total", "_before").agg(F.max("_top").alias("_v"), F.sum("_n").alias("_n")).select(
+            *groups, "_total", F.lit(True).alias("_gap"), "_v", "_n"
+        )
+        kept = join_null_safe(placed, judged.where("_wanted").select(*groups, "_cell"), [*groups, "_cell"], "inner")
+        counted = kept.select(*groups, "_total", "_gap", "_v", "_n").unionByName(passed)
+
+
+def _resolved(counted: DataFrame, groups: Sequence[str], points: Sequence[float]) -> DataFrame:
+    """The quantiles of each group from its lines ``_v, _gap, _n`` and its ``_total``."""
+    ranked = counted.withColumn("_through", _through(groups))
+
+    def at(rank: Column) -> Column:
+        covers = _covers(rank) & ~F.col("_gap")
+        # A rank the brackets miss is an error, never a silent null.
+        return F.coalesce(F.max(F.when(covers, F.col("_v"))), F.raise_error(F.lit("a quantile lies outside its bracket; raise the accuracy")))
+
+    measures = []
+    for i, p in enumerate(points):
+        rank = (F.col("_total") - 1) * F.lit(p)
+        measures += [at(F.floor(rank)).alias(f"_below{i}"), at(F.ceil(rank)).alias(f"_above{i}"), F.max(rank - F.floor(rank)).alias(f"_part{i}")]
+    found = ranked.groupBy(*groups).agg(*measures)
+    lines = [
+        F.struct(F.lit(p).alias("p"), (F.col(f"_below{i}") + (F.col(f"_above{i}") - F.col(f"_below{i}")) * F.col(f"_part{i}")).alias("quantile"))
+        for i, p in enumerate(points)
+    ]
+    return found.select(*groups, F.explode(F.array(*lines)).alias("_q")).select(*groups, "_q.*")
+
+
 def exact_quantiles(
-    df: DataFrame, groups: Sequence[str], value: str, probabilities: Sequence[float], accuracy: int = 2_000
+    df: DataFrame, groups: Sequence[str], value: str, probabilities: Sequence[float], accuracy: int = 2_000,
+    most: int = MOST_VALUES,
 ) -> DataFrame:
     """Exact interpolated quantiles per group, without gathering a group's values in one place.
 
     A sketch with bounded memory first brackets each quantile.  A second pass counts what lies below
     a bracket and keeps only the distinct values inside it (some thousandths of the rows) with
-    their counts; ranks are then resolved among those.
+    their counts; where these may be more than ``most`` they are narrowed by counting ranges.  Ranks are
+    then resolved among ``most`` values at most.
     """
     data = df.select(*groups, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL AND NOT isnan(_v)")
     if not groups:
         data, groups = data.withColumn("_all", F.lit(0)), ["_all"]
     groups, points = list(groups), [float(p) for p in probabilities]
-    margin = 4.0 / accuracy
-    low_points, high_points = [max(0.0, p - margin) for p in points], [min(1.0, p + margin) for p in points]
-    sketch = data.groupBy(*groups).agg(
+    low_points, high_points = _margins(points, accuracy)
+    sketch = written(data.groupBy(*groups).agg(
         F.count("_v").alias("_total"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.percentile_approx("_v", low_points + high_points, accuracy).alias("_edges"),
-    )
+    ), "sketch")
+    largest = sketch.agg(F.max("_total")).first()[0] or 0
     # Neighbouring ranks of a small group lie further apart than the margin: keep all of its values.
     small = F.col("_total") <= accuracy
 
@@ -111,57 +209,65 @@ def exact_quantiles(
     brackets = sketch.select(
         *groups, "_total", *[c.alias(f"_low{i}") for i, c in enumerate(lows)], *[c.alias(f"_high{i}") for i, c in enumerate(highs)]
     )
-    v = F.col("_v")
-    inside, floor = F.lit(False), F.lit(None).cast("double")
-    for i in range(len(points)):
-        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
-        inside = inside | ((v >= low) & (v <= high))
-        floor = F.greatest(floor, F.when(v > high, high))
-    # A value inside a bracket stays; all values in a gap become one line, placed after the bracket
-    # below them (or first, with a null floor).
+    gap, filed = _place(F.col("_v"), [(F.col(f"_low{i}"), F.col(f"_high{i}")) for i in range(len(points))])
     # The brackets are one row per group; the optimizer sees their size and broadcasts them if small.
-    counted = (
-        join_null_safe(data, brackets, groups, "inner")
-        .groupBy(*groups, "_total", (~inside).alias("_gap"), F.when(inside, v).otherwise(floor).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+    counted = join_null_safe(data, brackets, groups, "inner").groupBy(*groups, "_total", gap.alias("_gap"), filed.alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n")
     )
-    order = Window.partitionBy(*groups).orderBy(F.col("_v").asc_nulls_first(), "_gap")
-    ranked = counted.withColumn("_through", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    if _inside_at_most(largest, len(points), accuracy) > most:
+        counted = _narrowed(counted, groups, points, most)
+    found = _resolved(counted, groups, points)
+    return found.drop("_all")
 
-    def at(rank: Column) -> Column:
-        covers = (F.col("_through") - F.col("_n") <= rank) & (rank < F.col("_through")) & ~F.col("_gap")
-        # A rank the brackets miss is an error, never a silent null.
-        return F.coalesce(F.max(F.when(covers, F.col("_v"))), F.raise_error(F.lit("a quantile lies outside its bracket; raise the accuracy")))
 
-    measures = []
-    for i, p in enumerate(points):
-        rank = (F.col("_total") - 1) * F.lit(p)
-        measures += [at(F.floor(rank)).alias(f"_below{i}"), at(F.ceil(rank)).alias(f"_above{i}"), F.max(rank - F.floor(rank)).alias(f"_part{i}")]
-    found = ranked.groupBy(*groups).agg(*measures)
-    lines = [
-        F.struct(F.lit(p).alias("p"), (F.col(f"_below{i}") + (F.col(f"_above{i}") - F.col(f"_below{i}")) * F.col(f"_part{i}")).alias("quantile"))
-        for i, p in enumerate(points)
-    ]
-    named = [name for name in groups if name != "_all"]
-    return found.select(*named, F.explode(F.array(*lines)).alias("_q")).select(*named, "_q.*")
+def _inside_at_most(rows: int, points: int, accuracy: int) -> float:
+    """Rows of a group that can lie inside brackets: each spans twice the margin and the sketch's error at both ends."""
+    return min(rows, max(accuracy, rows * points * 10.0 / accuracy)) + points + 1
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max of numeric columns, one row per column."""
-    tall = df.select(F.explode(F.array(*[
-        F.struct(F.lit(name).alias("column"), F.col(name).cast("double").alias("value")) for name in columns
-    ])).alias("r")).select("r.*")
-    basic = tall.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
+def describe(df: DataFrame, columns: Sequence[str], accuracy: int = 2_000, most: int = MOST_VALUES) -> DataFrame:
+    """count, mean, std, min, quartiles and max of numeric columns, one row per column.
+
+    One pass takes all statistics and sketches of all columns side by side, a second counts the values
+    inside the brackets.  What the driver holds between them is a few numbers per column.
+    """
     points = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
-    quartiles = exact_quantiles(tall, ["column"], "value", list(points)).groupBy("column").agg(
+    low_points, high_points = _margins(list(points), accuracy)
+    doubles = df.select(*[F.col(name).cast("double").alias(f"c{i}") for i, name in enumerate(columns)])
+    measures = []
+    for i in range(len(columns)):
+        value = F.col(f"c{i}")
+        known = F.when(~F.isnan(value), value)
+        measures += [F.struct(
+            F.count(value).alias("count"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.min(value).alias("min"),
+            F.max(value).alias("max"), F.count(known).alias("total"), F.min(known).alias("low"), F.max(known).alias("high"),
+            F.percentile_approx(known, low_points + high_points, accuracy).alias("edges"),
+        ).alias(f"s{i}")]
+    stats = doubles.agg(*measures).first()
+    entries, basic = [], []
+    for i, name in enumerate(columns):
+        s = stats[f"s{i}"].asDict()
+        edges, value = s.pop("edges"), F.col(f"c{i}")
+        basic.append((name, *[s[k] for k in ("count", "mean", "std", "min", "max")], s["total"]))
+        if not s["total"]:
+            continue
+        pairs = [(s["low"], s["high"])] if s["total"] <= accuracy else list(zip(edges[: len(points)], edges[len(points):]))
+        gap, filed = _place(value, [(F.lit(low), F.lit(high)) for low, high in pairs])
+        entries.append(F.when(value.isNotNull() & ~F.isnan(value), F.struct(
+            F.lit(name).alias("column"), F.lit(s["total"]).cast("long").alias("_total"), gap.alias("_gap"), filed.alias("_v")
+        )))
+    frame = df.sparkSession.createDataFrame(basic, "column string, count long, mean double, std double, min double, max double, total long").drop("total")
+    names = list(points.values())
+    if not entries:
+        return frame.withColumns({name: F.lit(None).cast("double") for name in names}).select("column", "count", "mean", "std", "min", *names, "max")
+    placed = doubles.select(F.explode(F.array_compact(F.array(*entries))).alias("r")).select("r.*")
+    counted = placed.groupBy("column", "_total", "_gap", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    if _inside_at_most(max(b[-1] for b in basic), len(points), accuracy) > most:
+        counted = _narrowed(counted, ["column"], list(points), most)
+    quartiles = _resolved(counted, ["column"], list(points)).groupBy("column").agg(
         *[F.max(F.when(F.col("p") == p, F.col("quantile"))).alias(name) for p, name in points.items()]
     )
-    return basic.join(quartiles, "column", "left").select(
-        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"
-    )
+    return frame.join(quartiles, "column", "left").select("column", "count", "mean", "std", "min", *names, "max")
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:

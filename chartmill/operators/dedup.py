@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from chartmill.functions.columns import differs
+from chartmill.functions.columns import apart, differs, extremes
 from chartmill.operators import timeline
-from chartmill.operators.skew import HOT_KEY_ROWS, heaviest, join_attributes
+from chartmill.operators.skew import any_null, join_null_safe
 
 COUNT = "n_occurrences"
 
@@ -40,32 +40,18 @@ def collapse_collect(df: DataFrame, keys: Sequence[str], varying: str, list_name
     return grouped.select(*keys, listed.alias(list_name), (F.size("_values") > 1).alias(flag), COUNT)
 
 
-def nulls_last(names: Sequence[str]) -> Column:
-    """A sort key over several columns that puts nulls last, usable inside min and max."""
-    parts = []
-    for i, name in enumerate(names):
-        parts += [F.col(name).isNull().alias(f"n{i}"), F.col(name).alias(f"v{i}")]
-    return F.struct(*parts)
-
-
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each group in a total order, nulls last.
+    """The first row of each group in a total order, nulls last; what the order leaves open the other columns decide.
 
-    A smallest tuple per group instead of a numbered window: groups are reduced before the shuffle.
+    Asking for the first of a numbering lets every task drop all but one row of a group before the shuffle,
+    so a group of any size arrives as one row per task.
     """
     rest = [name for name in df.columns if name not in keys and name not in order]
-    columns = df.columns
-    smallest = df.groupBy(*keys).agg(
-        F.min(F.struct(nulls_last(order).alias("o"), nulls_last(rest or [keys[0]]).alias("r"))).alias("_first")
-    )
-    picked = {name: F.col(f"_first.o.v{i}") for i, name in enumerate(order)}
-    picked |= {name: F.col(f"_first.r.v{i}") for i, name in enumerate(rest)}
-    return smallest.select(*[(picked[name] if name in picked else F.col(name)).alias(name) for name in columns])
+    first = Window.partitionBy(*keys).orderBy(*[F.col(name).asc_nulls_last() for name in [*order, *rest]])
+    return df.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
 
 
-def classify_duplicates(
-    df: DataFrame, keys: Sequence[str], entity: str, attributes: Sequence[str], hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
+def classify_duplicates(df: DataFrame, keys: Sequence[str], entity: str, attributes: Sequence[str]) -> DataFrame:
     """Resolve rows sharing a key that should be unique.
 
     Exact copies collapse first.  Then, for a key with several rows:
@@ -75,37 +61,31 @@ def classify_duplicates(
       and carries the multiplicity of all;
     * one entity (or none known) with different attributes: a real conflict, all kept and flagged.
 
-    "More than one value" is decided by comparing the smallest and the largest, over the rows as they
-    come: no distinct count, no window, constant state per key.  Only the keys that turn out to be
-    ambiguous meet the collapsed rows again.
+    The table is read and collapsed once.  "More than one value" is decided over the collapsed rows by the
+    smallest and the largest of two 64-bit hashes, which is constant state of fixed width per key.  Only
+    the keys that turn out to be ambiguous meet the collapsed rows again, and only among the rows of
+    an entity written in several ways is the first one looked for.  Adaptive execution splits a hot key.
     """
     keys = list(keys)
-    facts = F.struct(*attributes)  # compared as a whole, a null field is a value
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_total"),
-        F.min(entity).alias("_first_entity"),
-        F.max(entity).alias("_last_entity"),
-        F.count(entity).alias("_known"),
-        (F.min(facts) != F.max(facts)).alias("_facts_differ"),
+    rows = collapse_count(df, [*keys, entity, *attributes])
+    several, alike = extremes([entity], F.col(entity).isNotNull()), extremes(attributes)
+    per_key = rows.groupBy(*keys).agg(
+        F.sum(COUNT).alias("_total"), F.sum(F.when(F.col(entity).isNotNull(), F.col(COUNT))).alias("_known"),
+        *[c.alias(f"_e{i}") for i, c in enumerate(several)], *[c.alias(f"_a{i}") for i, c in enumerate(alike)],
     )
-    several_entities = F.coalesce(F.col("_first_entity") != F.col("_last_entity"), F.lit(False))
+    several_entities, facts_differ = apart("_e", len(several)), apart("_a", len(alike))
     some_unknown = (F.col("_known") > 0) & (F.col("_known") < F.col("_total"))
-    ambiguous = per_key.where(several_entities | some_unknown | F.col("_facts_differ")).select(
-        *keys, "_total", "_first_entity",
-        F.when(several_entities & F.col("_facts_differ"), "collision")
-        .when(several_entities, "same")
-        .otherwise("conflict").alias("_class"),
-    )
-    hot = heaviest(per_key, keys, "_total", hot_rows)
-    rows = collapse_count(df, [*keys, entity, *attributes])
-    tagged = join_attributes(rows, ambiguous, keys, "left", hot)
-    collapsed = F.col("_class") == "same"
-    kept = F.coalesce(~collapsed | (F.col(entity) == F.col("_first_entity")), F.col("_class").isNull())
-    return tagged.where(kept).select(
+    # A missing key is no key: its rows stay as they are.
+    kind = F.when(any_null(keys), F.lit(None)).when(several_entities & facts_differ, "collision").when(several_entities, "same").otherwise("conflict")
+    ambiguous = per_key.where(several_entities | some_unknown | facts_differ).select(*keys, "_total", kind.alias("_class"))
+    # Null-safe joins, and conditions on the class alone, leave all uses of the collapsed rows alike, so that they are made once.
+    tagged = join_null_safe(rows, ambiguous, keys)
+    kept = tagged.where(F.coalesce(F.col("_class") != "same", F.lit(True)))
+    first = keep_first(tagged.where("_class = 'same'"), keys, [entity]).withColumn(COUNT, F.col("_total"))
+    return kept.unionByName(first).select(
         *keys, entity, *attributes,
         F.coalesce(F.col("_class") == "collision", F.lit(False)).alias("is_collision"),
-        F.coalesce(F.col("_class") == "conflict", F.lit(False)).alias("is_conflict"),
-        F.when(collapsed, F.col("_total")).otherwise(F.col(COUNT)).alias(COUNT),
+        F.coalesce(F.col("_class") == "conflict", F.lit(False)).alias("is_conflict"), COUNT,
     )
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from chartmill.config import CleaningRules, Expectation, Layout
 from chartmill.functions import columns as C
 from chartmill.operators import clean, dedup, quality
-from chartmill.operators.skew import HOT_KEY_ROWS
 from chartmill.schemas import BRONZE, silver_schema
 from chartmill.sources import store
 
@@ -90,9 +89,7 @@ def patient_lda(bronze: DataFrame, rules: CleaningRules = CleaningRules()) -> Da
     return dedup.collapse_collect(df, keys, "Line_Group_Name", "line_group_names", "multi_navigator")
 
 
-def patient_information(
-    bronze: DataFrame, rules: CleaningRules = CleaningRules(), hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
+def patient_information(bronze: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """One row per surgery where that is true, and flags where it is not."""
     df = clean.drop_rows(_source_columns(bronze, "patient_information"), rules.phantom_rows, ["LOG_ID", "MRN"])
     df = clean.trim_columns(df, TRIMMED["patient_information"])
@@ -102,7 +99,7 @@ def patient_information(
         "weight_kg": C.ounces_to_kg(F.col("WEIGHT")),
     }).withColumnRenamed("BIRTH_DATE", "age_years").drop("HEIGHT", "WEIGHT")
     facts = [name for name in df.columns if name not in ("LOG_ID", "MRN")]
-    resolved = dedup.classify_duplicates(df, ["LOG_ID"], "MRN", facts, hot_rows)
+    resolved = dedup.classify_duplicates(df, ["LOG_ID"], "MRN", facts)
     return resolved.withColumnsRenamed(
         {"is_collision": "log_id_collision", "is_conflict": "has_conflicting_duplicate"}
     ).withColumns({

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Times carry no zone, so epoch arithmetic must run in UTC.  The adaptive settings split skewed join
 # partitions and merge tiny ones at run time.  Writing year folders keeps one open file per folder and
@@ -39,3 +39,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         base = f"{tempfile.gettempdir()}/chartmill-scratch"
     return f"{base.rstrip('/')}/chartmill-{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate table to the scratch folder and read it back, so that it is not computed twice."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

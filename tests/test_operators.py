@@ -1,7 +1,10 @@
 """Operators on tiny frames, against brute force where order or skew matters."""
 
 import datetime as dt
+import math
 import random
+import re
+import struct
 from collections import Counter
 
 import numpy as np
@@ -118,12 +121,33 @@ def brute_classes(rows):
     return out
 
 
+def test_rows_without_a_key_stay_as_they_are(spark):
+    df = spark.createDataFrame([(None, "p", 1), (None, "q", 1), (None, "q", 2), (1, "q", 5), (1, "p", 5), (1, None, 5)], "k int, e string, a int")
+    got = dedup.classify_duplicates(df, ["k"], "e", ["a"]).collect()
+    assert sorted((str(r.k), r.e, r.a, r.is_collision, r.is_conflict, r.n_occurrences) for r in got) == [
+        ("1", "p", 5, False, False, 3), ("None", "p", 1, False, False, 1), ("None", "q", 1, False, False, 1), ("None", "q", 2, False, False, 1)]
+
+
+def operators_of(df):
+    """How often each operator occurs in the plan as it was run."""
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return Counter(re.findall(r"[A-Z][A-Za-z]+", text))
+
+
+def test_duplicates_are_classified_in_one_scan_by_hash(spark, tmp_path):
+    spark.range(4000).selectExpr("id % 900 AS k", "concat('e', id % 7) AS e", "id % 5 AS a", "concat('b', id % 3) AS b").write.parquet(f"{tmp_path}/t")
+    plan = operators_of(dedup.classify_duplicates(spark.read.parquet(f"{tmp_path}/t"), ["k"], "e", ["a", "b"]))
+    assert plan["FileScan"] == 1 and not plan["SortAggregate"] and plan["ReusedExchange"] >= 1
+    first = operators_of(dedup.keep_first(spark.read.parquet(f"{tmp_path}/t"), ["k"], ["b", "a"]))
+    assert first["WindowGroupLimit"] == 2 and not first["SortAggregate"] and first["Exchange"] == 1
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["p", "q", None]), st.sampled_from([1, 2, None])), min_size=1, max_size=30),
-       st.sampled_from([1, 3, 1_000_000]))
-def test_classify_duplicates(spark, rows, hot_rows):
+@given(st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["p", "q", None]), st.sampled_from([1, 2, None])), min_size=1, max_size=30))
+def test_classify_duplicates(spark, rows):
     df = spark.createDataFrame(rows, "k int, e string, a int")
-    got = dedup.classify_duplicates(df, ["k"], "e", ["a"], hot_rows).collect()
+    got = dedup.classify_duplicates(df, ["k"], "e", ["a"]).collect()
     order = lambda r: tuple((v is None, v if v is not None else 0) for v in r)
     assert sorted((tuple(r) for r in got), key=order) == sorted(brute_classes(rows), key=order)
 
@@ -370,6 +394,40 @@ def test_exact_quantiles(spark, seed):
         assert got[p] == pytest.approx(np.quantile(data, p), rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize("most", [1_000, 40, 5_000])
+def test_quantiles_among_few_values_at_a_time(spark, most, monkeypatch):
+    """Far more distinct values than a task may see: narrowing leaves at most so many lines of a group."""
+    seen = []
+    resolve = aggregate._resolved
+
+    def watched(counted, groups, points):
+        seen.append(counted.groupBy(*groups).count().agg(F.max("count")).first()[0])
+        return resolve(counted, groups, points)
+
+    monkeypatch.setattr(aggregate, "_resolved", watched)
+    rng = np.random.default_rng(most)
+    data = {"normal": rng.normal(size=30_000), "wide": 10.0 ** rng.uniform(-300, 300, 20_000), "ties": rng.integers(0, 9, 5_000) * 1.0, None: rng.uniform(-1, 1, 700)}
+    rows = [(g, float(v)) for g, values in data.items() for v in values]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    points = [0.0, 0.01, 0.5, 0.9, 1.0]
+    got = {(r.g, r.p): r.quantile for r in aggregate.exact_quantiles(df, ["g"], "v", points, accuracy=100, most=most).collect()}
+    for g, values in data.items():
+        for p in points:
+            assert got[g, p] == pytest.approx(np.quantile(values, p), rel=1e-9), (g, p)
+    assert seen[0] <= most
+    row = aggregate.describe(df, ["v"], accuracy=100, most=most).first()
+    everything = np.concatenate(list(data.values()))
+    assert [row.q25, row.q50, row.q75] == pytest.approx(np.quantile(everything, [0.25, 0.5, 0.75]).tolist(), rel=1e-9)
+    assert seen[1] <= most
+
+
+def test_describe_of_little(spark):
+    df = spark.createDataFrame([(1.0, None, float("nan")), (4.0, None, 2.0)], "a double, b double, c double")
+    got = {r.column: tuple(r)[1:] for r in aggregate.describe(df, ["a", "b", "c"]).collect()}
+    assert got["a"][:2] == (2, 2.5) and got["a"][3:] == (1.0, 1.75, 2.5, 3.25, 4.0)
+    assert got["b"] == (0, None, None, None, None, None, None, None) and got["c"][0] == 2 and got["c"][4:7] == (2.0, 2.0, 2.0)
+
+
 def test_quantiles_of_many_groups(spark):
     df = spark.range(100).select((F.col("id") % 5).alias("g"), F.col("id").cast("double").alias("v"))
     got = {r.g: r.quantile for r in aggregate.exact_quantiles(df, ["g"], "v", [0.5]).collect()}
@@ -393,6 +451,32 @@ def test_sentinel_bands(spark):
     assert got == {"all": "all", "none": "none", "few": "minority", "half": "mixed"}
 
 
+def test_numbers_keep_their_order_in_codes(spark):
+    rng = random.Random(3)
+    numbers = [struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(2000)]
+    numbers += [s * m * 2.0**e for s in (1, -1) for e in range(-1074, 1024, 37) for m in (1.0, 1.5, 1.0 + 2**-52, 2.0 - 2**-52) if m * 2.0**min(e, 1022) < 2**1023]
+    numbers += [0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, float("inf"), float("-inf"), 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 8.0, 1000.0, 0.1]
+    numbers = [x for x in numbers if x == x]
+    df = spark.createDataFrame([(x,) for x in numbers] + [(float("nan"),)], "v double").select("v", C.order_code(F.col("v")).alias("c"))
+    for row in df.withColumn("back", C.from_order_code(F.col("c"))).collect():
+        bits = struct.unpack("q", struct.pack("d", abs(row.v)))[0]
+        assert row.v != row.v or row.c == (-bits if row.v < 0 else bits), row
+        assert row.back == row.v or (row.back != row.back and row.v != row.v), row
+
+
+def test_last_value_by_hash(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(rng.randrange(6), at(rng.choice([None, *range(9)])), rng.choice([None, -0.5, 0.25, -1e300, 7.0, float(rng.randrange(9))])) for _ in range(300)] + [(9, None, 4.0), (9, None, -3.0)]
+    spark.createDataFrame(rows, "k int, ts timestamp_ntz, v double").withColumn("w", F.floor(F.col("v") % 1000)).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    for value, get in (("v", lambda v: v), ("w", lambda v: None if v is None else int(math.floor(math.fmod(v, 1000))))):
+        summary = aggregate.summary_by_group(df, ["k"], value, "ts")
+        assert not operators_of(summary)["SortAggregate"]
+        for row in summary.collect():
+            known = [(ts is not None, ts or T0, get(v)) for k, ts, v in rows if k == row.k and v is not None]
+            assert (row.n, row.last) == (len(known), max(known)[2])
+
+
 def test_last_value_tie(spark):
     df = spark.createDataFrame([("e", at(1), 5.0), ("e", at(2), 1.0), ("e", at(2), 3.0), ("e", at(3), None)], "e string, ts timestamp_ntz, v double")
     row = aggregate.summary_by_group(df, ["e"], "v", "ts").first()
