@@ -1,13 +1,17 @@
 """Main text of web pages, from streamed parser events.
 
-A page becomes *lines*, one per block of text.  A line's ratio is its text over the tags around it;
-lines of menus, adverts, forms and the like count as empty.  Ratios are smoothed with a Gaussian over
-neighbouring lines and split into two clusters; the upper one marks content.  A region, that is the
-article a line belongs to or else the division around it, is kept whole if it holds content: short
-paragraphs stay with the long ones beside them.  Where articles hold content, other regions go.
-
-Null and empty pages, and pages without any content, give the empty string.  Broken markup is read as
-far as the standard library's parser can tell; open elements end with the one around them.
+A page becomes *lines*, one per block of text.  A line's ratio is its text over the tags around it, text
+of links not counting; lines of menus, adverts, forms and the like count as empty.  Ratios are smoothed
+with a Gaussian over neighbouring lines and split into two clusters; the upper one marks content.  A
+region, that is the article a line belongs to or else the division around it, is kept if it holds
+content, and so are the short paragraphs and headings in it.  Where articles hold content, other regions
+go.  Within a region that is kept, two kinds of line in the lower cluster go: runs of lines that are nothing
+but links, and divisions of their own that hold no line of the upper cluster and whose ratio stays below
+``THIN`` of the threshold before any smoothing.
+
+Null and empty pages, and pages without any content, give the empty string.  Broken markup never fails:
+declarations the standard library's parser knows nothing about are read as comments, and open elements
+end with the one around them.
 """
 
 from __future__ import annotations
@@ -15,7 +19,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from itertools import groupby
 from math import exp
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -24,6 +30,11 @@ SIGMA = 1.0
 RADIUS = 3
 KERNEL = [exp(-((k / SIGMA) ** 2) / 2) for k in range(-RADIUS, RADIUS + 1)]
 
+# Share of the threshold a division inside an article must reach to stay without a line of content.
+THIN = 0.25
+# Lines of links alone that make a list of links.
+LINKS = 3
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -36,6 +47,8 @@ BOILERPLATE = frozenset(
 )
 ARTICLE = frozenset(["article", "main"])
 REGION = frozenset(["body", "div", "section", "td", "table", "blockquote"])
+# Inside an article these may be something of their own.
+DIVISION = frozenset(["div", "section", "table"])
 # A new one of these ends an open one of the same kind.
 SELF_ENDING = {"p": BLOCK - {"p"}, "li": frozenset(["ul", "ol", "menu"]), "dt": frozenset(["dl"]), "dd": frozenset(["dl"]), "tr": frozenset(["table"])}
 WORDS = frozenset(
@@ -72,14 +85,29 @@ def is_boilerplate(tag: str, attributes: list[tuple[str, str | None]], inside: s
     return False
 
 
+# What lies around text outside all elements.
+OUTSIDE = ("", False, 0, None, 0)
+
+
+class Line(NamedTuple):
+    text: str  # empty where boilerplate
+    tags: int
+    region: int
+    article: bool
+    division: int
+    plain: int  # letters outside links
+
+
 class Lines(HTMLParser):
-    """Collects (text, tags, region, article?) for each block of a page."""
+    """Collects a :class:`Line` for each block of a page."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, bool, int, str | None]] = []  # tag, boilerplate, region, article around
+        self.lines: list[Line] = []
+        # Tag, boilerplate, region, article around, division inside the article.
+        self.open: list[tuple[str, bool, int, str | None, int]] = []
         self.text: list[str] = []
+        self.linked = self.anchors = 0
         self.tags = 0
         self.regions = 0
 
@@ -87,13 +115,17 @@ class Lines(HTMLParser):
         text = " ".join("".join(self.text).split()) if self.text else ""
         self.text = []
         if text:
-            _, hidden, region, article = self.open[-1] if self.open else ("", False, 0, None)
-            self.lines.append(("" if hidden else text, self.tags + 1, region, article is not None))
+            _, hidden, region, article, division = self.open[-1] if self.open else OUTSIDE
+            shown = "" if hidden else text
+            plain = len(shown) if not self.linked else max(0, sum(map(str.isalnum, shown)) - self.linked)
+            self.lines.append(Line(shown, self.tags + 1, region, article is not None, division, plain))
             self.tags = 0
+        self.linked = 0
 
     def close_to(self, at: int) -> None:
         if any(tag in BLOCK for tag, *_ in self.open[at:]) or self.open[at][1] != (at > 0 and self.open[at - 1][1]):
             self.flush()
+        self.anchors -= sum(tag == "a" for tag, *_ in self.open[at:])
         del self.open[at:]
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -111,7 +143,7 @@ class Lines(HTMLParser):
                     break
                 if self.open[at][0] in BLOCK:
                     break
-        _, hidden, region, article = self.open[-1] if self.open else ("", False, 0, None)
+        _, hidden, region, article, division = self.open[-1] if self.open else OUTSIDE
         out = hidden or is_boilerplate(tag, attrs, article)
         if tag in BLOCK or out != hidden:
             self.flush()
@@ -127,7 +159,11 @@ class Lines(HTMLParser):
         elif article is None and tag in REGION:
             self.regions += 1
             region = self.regions
-        self.open.append((tag, out, region, article))
+        elif tag in DIVISION:
+            self.regions += 1
+            division = self.regions
+        self.anchors += tag == "a"
+        self.open.append((tag, out, region, article, division))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -143,9 +179,15 @@ class Lines(HTMLParser):
                 self.close_to(at)
                 return
 
+    def parse_marked_section(self, i: int, report: bool = True) -> int:
+        """``<![...>`` is a comment: the library gives up on most of them."""
+        return self.parse_bogus_comment(i, report)
+
     def handle_data(self, data: str) -> None:
         if not self.open or not self.open[-1][1]:
             self.text.append(data)
+            if self.anchors:
+                self.linked += sum(map(str.isalnum, data))
         elif not data.isspace():
             self.text.append("-")  # its place in the page counts, its words do not
 
@@ -185,14 +227,31 @@ def main_text(html: str | None) -> str:
     parser.close()
     parser.flush()
     lines = parser.lines
-    if not any(text for text, *_ in lines):
+    if not any(line.text for line in lines):
         return ""
-    scores = smoothed([len(text) / tags for text, tags, *_ in lines])
-    border = threshold([s for s, line in zip(scores, lines) if line[0]])
-    content = [line for s, line in zip(scores, lines) if s >= border and line[0]]
-    articles = any(article for *_, article in content)
-    kept = {region for _, _, region, article in content if article or not articles}
-    return "\n".join([text for text, _, region, _ in lines if text and region in kept])
+    own = [line.plain / line.tags for line in lines]
+    scores = smoothed(own)
+    border = threshold([s for s, line in zip(scores, lines) if line.text])
+    high = [s >= border for s in scores]
+    content = [line for line, above in zip(lines, high) if above and line.text]
+    articles = any(line.article for line in content)
+    kept = {line.region for line in content if line.article or not articles}
+    rich = {line.division for line in content}
+    thick = {line.division for line, ratio in zip(lines, own) if ratio >= THIN * border} | rich
+    links = link_lists([bool(line.text) and not line.plain and not above for line, above in zip(lines, high)])
+    return "\n".join([
+        line.text for line, linked in zip(lines, links)
+        if line.text and line.region in kept and not linked and (not line.division or line.division in thick)
+    ])
+
+
+def link_lists(alone: list[bool]) -> list[bool]:
+    """Which lines belong to a run of at least ``LINKS`` lines of links alone."""
+    out: list[bool] = []
+    for same, run in groupby(alone):
+        n = len(list(run))
+        out += [same and n >= LINKS] * n
+    return out
 
 
 def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
