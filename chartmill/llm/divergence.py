@@ -33,6 +33,8 @@ LEAST_DOCS = 30
 TOP_TERMS = 50
 # Distinct count vectors in a block.
 BLOCK = 1024
+# Entries of a count vector that take part in dealing vectors by ranges.
+HEAD = 2
 # Bytes of counters a task holds before it hands them on, and rows of a batch handed on.
 HELD = 64_000_000
 OUT_ROWS = 20_000
@@ -187,7 +189,8 @@ def source_differences(words: DataFrame, block: int = BLOCK) -> DataFrame:
     languages = _languages(words).select("lang", "kept").join(sources, "lang")
     vectors = words.where("term is not null").groupBy("lang", "counts").agg(F.count(F.lit(1)).alias("length"))
     # A partition's rows are numbered in their order: the upper bits of the id are the partition, the lower count from 0.
-    ordered = vectors.repartitionByRange("lang", "counts").sortWithinPartitions("lang", "counts")
+    # Ranges are chosen by the first entries, because sampled range keys go to the driver.
+    ordered = vectors.repartitionByRange("lang", F.slice("counts", 1, HEAD)).sortWithinPartitions("lang", "counts")
     number = F.monotonically_increasing_id()
     placed = ordered.withColumn("at", F.shiftright(number, 33) * 2**33 + F.floor(number % 2**33 / block))
     blocks = placed.groupBy("lang", "at").agg(F.sort_array(F.collect_list(F.struct("counts", "length"))).alias("block"))
