@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from chartmill.config import CleaningRules, Layout
 from chartmill.operators import clean
@@ -19,16 +19,17 @@ ORDER = tuple(BRONZE)
 
 
 def to_bronze(raw: DataFrame, table: str, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """Turn text columns into the declared bronze schema."""
+    """Turn text columns into the declared bronze schema, followed by the flag of malformed records if there is one."""
     spec = BRONZE[table]
     df = clean.drop_if_present(clean.rename(raw, spec.rename), spec.drop)
-    texts = [name for name in df.columns if name != text.SOURCE_FILE]
-    kept = clean.null_out_tokens(df.select(*[F.col(f"`{name}`") for name in texts]
-                                           + ([text.SOURCE_FILE] if text.SOURCE_FILE in df.columns else [])), rules.null_tokens)
+    marks = [name for name in (text.SOURCE_FILE, text.MALFORMED) if name in df.columns]
+    texts = [name for name in df.columns if name not in marks]
+    kept = clean.null_out_tokens(df.select(*[F.col(f"`{name}`") for name in [*texts, *marks]]), rules.null_tokens)
     if spec.split_value and spec.split_value in kept.columns:
         kept = clean.split_mixed_value(kept, spec.split_value)
     typed = clean.coerce_to_schema(kept, spec.columns, rules.timestamp_formats)
-    return clean.conform(clean.stamp_provenance(typed), spec.schema)
+    flag = [T.StructField(text.MALFORMED, T.BooleanType())] if text.MALFORMED in marks else []
+    return clean.conform(clean.stamp_provenance(typed), T.StructType([*spec.schema.fields, *flag]))
 
 
 def pending_parts(spark: SparkSession, layout: Layout, table: str, paths: str | list[str]) -> list[tuple[str, str]]:
@@ -61,22 +62,23 @@ def load_parts(
         text.read_csv_parts(spark, some, multi_line)
         for multi_line in (False, True) if (some := [path for name, path in parts if (name in torn) == multi_line])
     ])
-    store.write_load(to_bronze(raw.drop(text.CORRUPT), table, rules), layout, table, load_id)
+    store.write_load(to_bronze(text.flag_malformed(raw), table, rules), layout, table, load_id)
 
     # Per file: records of the source, rows now stored, physical lines.  Where a record is a line, the
-    # records are counted apart from the CSV reader.
-    stored = store.read_load(spark, layout, table, [load_id]).groupBy(text.SOURCE_FILE).agg(
-        F.count(F.lit(1)).alias("ingested_rows")
+    # records are counted apart from the CSV reader; else they are what it stored.  Of the rows stored
+    # only the flag is read.
+    stored = store.read_load(spark, layout, table, [load_id], text.MALFORMED).groupBy(text.SOURCE_FILE).agg(
+        F.count(F.lit(1)).alias("ingested_rows"), F.count_if(text.MALFORMED).alias("malformed_rows")
     )
     known = [(row[text.SOURCE_FILE], row.physical_lines, None if row.torn_lines else row.filled_lines) for row in lines]
     counted = spark.createDataFrame([(name, True) for name, _ in parts], f"{text.SOURCE_FILE} STRING, listed BOOLEAN")
     for counts in (
-        stored, text.parsed_records(raw), spark.createDataFrame(known, f"{text.SOURCE_FILE} STRING, physical_lines BIGINT, filled_lines BIGINT")
+        stored, spark.createDataFrame(known, f"{text.SOURCE_FILE} STRING, physical_lines BIGINT, filled_lines BIGINT")
     ):
         counted = counted.unionByName(counts, allowMissingColumns=True)
     counted = counted.groupBy(text.SOURCE_FILE).agg(
         F.coalesce(F.max("listed"), F.lit(False)).alias("listed"), F.max("physical_lines").alias("physical_lines"),
-        F.coalesce(F.max("filled_lines"), F.max("parsed_records"), F.lit(0)).alias("source_rows"),
+        F.coalesce(F.max("filled_lines"), F.max("ingested_rows"), F.lit(0)).alias("source_rows"),
         *[F.coalesce(F.max(name), F.lit(0)).alias(name) for name in ("ingested_rows", "malformed_rows")],
     )
     match = F.col("listed") & (F.col("source_rows") == F.col("ingested_rows")) & (F.col("malformed_rows") == 0)

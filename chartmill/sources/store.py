@@ -123,11 +123,12 @@ def write_load(df: DataFrame, layout: Layout, table: str, load_id: str) -> str:
     return path
 
 
-def read_load(spark: SparkSession, layout: Layout, table: str, load_ids: list[str]) -> DataFrame:
-    """Rows of the given loads, with the declared columns plus partition columns."""
+def read_load(spark: SparkSession, layout: Layout, table: str, load_ids: list[str], *flags: str) -> DataFrame:
+    """Rows of the given loads, with the declared columns plus partition columns, and stored flags if asked for."""
     spec = BRONZE[table]
     year = f", {spec.year_of[1]} INT" if spec.year_of else ""
-    ddl = f"{spec.ddl}, {PROVENANCE_DDL}, _load STRING{year}"
+    asked = "".join(f", {name} BOOLEAN" for name in flags)
+    ddl = f"{spec.ddl}, {PROVENANCE_DDL}{asked}, _load STRING{year}"
     base = layout.table("bronze", table)
     if not load_ids:
         return spark.createDataFrame([], ddl)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 SOURCE_FILE = "_source_file"
 CORRUPT = "_corrupt_record"
+MALFORMED = "_malformed"
 
 
 def file_name() -> Column:
@@ -43,13 +44,13 @@ def line_stats(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
-def parsed_records(raw: DataFrame) -> DataFrame:
-    """Records per file as the CSV reader sees them, and those whose number of fields is wrong.
+def flag_malformed(raw: DataFrame) -> DataFrame:
+    """Replace the kept text of records with a wrong number of fields by a flag.
 
-    The reader judges a record only if another column is asked for too.
+    The flag is stored with the rows, so that both are counted from what was written: the files are parsed
+    once, and a task that had to be repeated counts nothing twice.
     """
-    malformed = F.when(F.col(CORRUPT).isNotNull(), F.hash(F.col(f"`{raw.columns[0]}`")))
-    return raw.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("parsed_records"), F.count(malformed).alias("malformed_rows"))
+    return raw.withColumn(MALFORMED, F.col(CORRUPT).isNotNull()).drop(CORRUPT)
 
 
 def part_stats(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:

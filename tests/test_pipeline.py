@@ -278,6 +278,28 @@ def test_a_ragged_record_stops_everything(spark, tmp_path, bad):
     assert store.scan_bronze(spark, layout, "patient_labs").count() == 2
 
 
+def test_a_file_is_parsed_once(spark, tmp_path, monkeypatch):
+    """Besides the header, the only frame that reads CSV and is run is the one that is written."""
+    layout, source = labs_lake(tmp_path, lab("a") + lab("b"), lab("c"))
+    readers, written = [], []
+    read, write = text.read_csv_parts, store.write_load
+
+    def watched_write(df, *args):
+        written.append(df.inputFiles())
+        return write(df, *args)
+
+    monkeypatch.setattr(text, "read_csv_parts", lambda *args: readers.append(args) or read(*args))
+    monkeypatch.setattr(store, "write_load", watched_write)
+    bronze.ingest(spark, layout, "patient_labs", source, RULES)
+    assert len(readers) == 1 and len(written) == 1 and len(written[0]) == 2
+    rows = store.current_loads(spark, layout, "patient_labs")
+    assert {(r._source_file, r.source_rows, r.ingested_rows, r.malformed_rows) for r in rows.collect()} == {("part0.csv", 2, 2, 0), ("part1.csv", 1, 1, 0)}
+    load = rows.first().load_id
+    counted = store.read_load(spark, layout, "patient_labs", [load], text.MALFORMED).groupBy(text.SOURCE_FILE).agg(F.count_if(text.MALFORMED))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert "csv" not in plan.lower().replace("part0.csv", "") and f"ReadSchema: struct<{text.MALFORMED}:boolean>" in plan
+
+
 def test_a_line_of_blanks_is_no_record(spark, tmp_path):
     layout, source = labs_lake(tmp_path, lab("a") + "\t\n" + "  \n" + lab("b"))
     bronze.ingest(spark, layout, "patient_labs", source, RULES)
