@@ -22,6 +22,7 @@ import json
 import uuid
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +45,21 @@ READ_IDS = 1 << 19
 MANIFEST = "task int, number int, file string, n_docs long, n_ids long"
 
 
+@cache
+def loaded(path: str):
+    """A tokenizer, its model and its largest id, once per worker: the library does not free all that loading a model took."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    return library, library.model, max(library.get_vocab(with_added_tokens=True).values())
+
+
 class LibraryWords(Words):
     """Words encoded by the tokenizers library's model, each once: what surrounds a word does not matter to it."""
 
-    def take(self, library) -> None:
-        self.model = library.model
-        self.largest = max(library.get_vocab(with_added_tokens=True).values())
+    def __init__(self, path: str):
+        library, self.model, self.largest = loaded(path)
+        super().__init__(path, library)
         self.letter_of = dict(enumerate(self.letters))
 
     def learn(self, words: list[str]) -> None:

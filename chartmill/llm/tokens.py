@@ -54,10 +54,10 @@ class Words:
     ``learn`` says how words not met before are encoded: it fills ``met``.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, library=None):
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_file(path)
+        library = library or Tokenizer.from_file(path)
         self.normalize = library.normalizer.normalize_str
         self.pre_tokenize = library.pre_tokenizer.pre_tokenize_str
         self.special = {x.content: i for i, x in library.get_added_tokens_decoder().items()}
@@ -66,10 +66,6 @@ class Words:
         self.bytes_of = {c: b for b, c in enumerate(self.letters)}
         self.met: dict[str, bytes] = {}
         self.held = 0
-        self.take(library)
-
-    def take(self, library) -> None:
-        """Keep parts of the library's tokenizer, which is else dropped here."""
 
     def learn(self, words: list[str]) -> None:
         raise NotImplementedError
