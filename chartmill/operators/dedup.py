@@ -40,6 +40,23 @@ def collapse_collect(df: DataFrame, keys: Sequence[str], varying: str, list_name
     return grouped.select(*keys, listed.alias(list_name), (F.size("_values") > 1).alias(flag), COUNT)
 
 
+def merge_counts(published: DataFrame, arrived: DataFrame, keys: Sequence[str], lists: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Two collapsed frames as one: what collapsing the rows behind both would give.
+
+    Counts of a key add up.  ``lists`` names the list columns of :func:`collapse_collect` with their flags:
+    lists are united, a null staying last, and the flag follows from the united list.
+    """
+    both = published.unionByName(arrived)
+    merged = both.groupBy(*keys).agg(
+        F.sum(COUNT).alias(COUNT), *[F.array_distinct(F.flatten(F.collect_list(name))).alias(name) for name, _ in lists]
+    )
+    for name, flag in lists:
+        known = F.sort_array(F.array_compact(name))
+        missing = F.filter(name, lambda value: value.isNull())
+        merged = merged.withColumn(flag, F.size(known) > 1).withColumn(name, F.concat(known, missing))
+    return merged.select(*published.columns)
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each group in a total order, nulls last; what the order leaves open the other columns decide.
 

@@ -36,12 +36,15 @@ def key_coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def entity_footprint(pairs: DataFrame, tables: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Rows each table holds for the given key tuples; zero everywhere marks a phantom."""
+    """Rows each table holds for the given key tuples; zero everywhere marks a phantom.
+
+    Rows with other keys are left behind before anything is counted.
+    """
     keys = list(keys)
     wanted = pairs.select(*keys).distinct()
     tagged = None
     for name, df in tables.items():
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).withColumn("_table", F.lit(name))
+        counts = df.select(*keys).join(wanted, keys, "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).withColumn("_table", F.lit(name))
         tagged = counts if tagged is None else tagged.unionByName(counts)
     spread = tagged.groupBy(*keys).agg(
         *[F.sum(F.when(F.col("_table") == name, F.col("_n"))).alias(name) for name in tables]
@@ -103,15 +106,14 @@ def mangled_bucket(text: Column) -> Column:
 def repair_ids(df: DataFrame, column: str, lookup: DataFrame, full_id: str) -> DataFrame:
     """Replace ids mangled into scientific notation by full decimal ids, only where one full id fits.
 
-    Each full id is entered once per number of mantissa digits up to the most any mangled form has, and
-    the lookup is reduced to one row per such bucket before the join.  A bucket with several full ids is
+    Each full id is entered once per number of mantissa digits that some mangled form has, and the lookup is reduced to one row per such bucket before the join.  A bucket with several full ids is
     ambiguous and never used, because a false merge of two entities leaves no trace.
     """
     full = lookup.where(F.col(full_id).rlike(r"^[0-9]+$")).select(F.col(full_id).alias("_id")).distinct()
     damaged = F.coalesce(flag_pattern(F.col(column)), F.lit(False))
     shown = F.length(F.split(mangled_bucket(F.col(column)), "e")[0])
-    most = df.where(damaged).agg(F.coalesce(F.max(shown), F.lit(1)).alias("_most")).scalar()
-    rendered = full.withColumn("_digits", F.explode(F.sequence(F.lit(1), most)))
+    in_use = df.where(damaged).agg(F.collect_set(shown).alias("_in_use")).scalar()
+    rendered = full.withColumn("_digits", F.explode(in_use))
     unique = (
         rendered.withColumn("_bucket", magnitude_bucket(F.col("_id"), F.col("_digits")))
         .withColumn("_bucket", F.concat_ws(":", F.col("_digits").cast("string"), "_bucket"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Callable
 
@@ -121,6 +122,12 @@ BUILDERS: dict[str, Callable[..., DataFrame]] = {
 }
 
 
+# Tables that only collapse copies, with their list columns and the flags of these.
+COLLAPSED: dict[str, list[tuple[str, str]]] = {
+    table: [("line_group_names", "multi_navigator")] if table == "patient_lda" else [] for table in BUILDERS if table != "patient_information"
+}
+
+
 def refine(bronze: DataFrame, table: str, rules: CleaningRules = CleaningRules()) -> DataFrame:
     """The silver rows of a table in the declared schema."""
     built = BUILDERS[table](bronze, rules)
@@ -158,13 +165,48 @@ def build(spark: SparkSession, layout: Layout, table: str, rules: CleaningRules
     if bronze_rows != expected:
         raise store.IncompleteLoad(f"bronze.{table} has {bronze_rows} rows, its sources {expected}")
     staged = store.write_build(refine(bronze, table, rules), layout, table)
+    return _checked(spark, layout, staged, bronze_rows, rules)
+
+
+def _checked(spark: SparkSession, layout: Layout, staged: store.Build, bronze_rows: int, rules: CleaningRules) -> store.Build:
+    """Publish a version if the files written satisfy the table's rules."""
     written = store.read_build(spark, staged)
-    quality.gate(quality.evaluate(written, table, build_rules(table, bronze_rows, rules)))
+    quality.gate(quality.evaluate(written, staged.table, build_rules(staged.table, bronze_rows, rules)))
+    store.note_sources(spark, layout, staged, digest(rules))
     action = store.publish(spark, layout, staged)
-    log.info("silver.%s published (%s)", table, action)
+    log.info("silver.%s published (%s)", staged.table, action)
     return staged
 
 
+def digest(rules: CleaningRules) -> str:
+    """Tells rules apart that would clean rows in different ways."""
+    return hashlib.sha256(repr(rules).encode()).hexdigest()
+
+
+def update(spark: SparkSession, layout: Layout, table: str, rules: CleaningRules = CleaningRules()) -> store.Build:
+    """Bring a table up to date with its loads, reading only those that came after the published version.
+
+    A collapsed table is the sum of its parts: the new rows are collapsed by themselves and their counts
+    added to the published ones.  Where that does not hold, the table is recomputed: no version yet, a
+    file in it loaded anew, other rules, or a table whose rows are judged together.  Without new loads
+    the published version stays.
+    """
+    state = store.arrivals(spark, layout, table, digest(rules)) if table in COLLAPSED else None
+    if state is None:
+        return build(spark, layout, table, rules)
+    published, new = state
+    if not new:
+        return published
+    expected = store.require_complete(spark, layout, table)
+    arrived = refine(store.scan_arrivals(spark, layout, table, new), table, rules)
+    lists = COLLAPSED[table]
+    keys = [c for c in arrived.columns if c not in {dedup.COUNT, BUILD_STAMP, *[c for pair in lists for c in pair]}]
+    present = store.read_build(spark, published).select(*[c for c in arrived.columns if c != BUILD_STAMP])
+    merged = dedup.merge_counts(present, arrived.drop(BUILD_STAMP), keys, lists)
+    staged = store.write_build(clean.conform(clean.stamp(merged, BUILD_STAMP), silver_schema(table)), layout, table)
+    return _checked(spark, layout, staged, expected, rules)
+
+
 def build_all(
     spark: SparkSession, layout: Layout, rules: CleaningRules = CleaningRules(), tables: tuple[str, ...] = tuple(BUILDERS)
 ) -> dict[str, store.Build]:

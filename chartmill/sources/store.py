@@ -31,6 +31,8 @@ class IncompleteLoad(RuntimeError):
 
 LOADS_DDL = """table STRING, _source_file STRING, load_id STRING, status STRING, source_rows BIGINT,
     ingested_rows BIGINT, malformed_rows BIGINT, physical_lines BIGINT, row_match BOOLEAN, finished_at TIMESTAMP_NTZ"""
+# Which loads went into a build, and the digest of the rules it was made by.
+SOURCES_DDL = "table STRING, build_id STRING, load_id STRING, _source_file STRING, rules STRING"
 BUILDS_DDL = "table STRING, build_id STRING, schema_json STRING, partition_column STRING, published_at TIMESTAMP_NTZ"
 
 
@@ -231,6 +233,43 @@ def ensure_table(spark: SparkSession, layer: str, table: str, schema: StructType
     return action
 
 
+def note_sources(spark: SparkSession, layout: Layout, build: Build, rules: str) -> None:
+    """Remember what a build was made from; called before it is published, so no published build lacks it."""
+    loads = current_loads(spark, layout, build.table).select(
+        "table", F.lit(build.build_id).alias("build_id"), "load_id", SOURCE_FILE, F.lit(rules).alias("rules")
+    )
+    append(loads.coalesce(1), layout.ledger("build_sources"))
+
+
+def arrivals(spark: SparkSession, layout: Layout, table: str, rules: str) -> tuple[Build, list[tuple[str, str]]] | None:
+    """The published build and the (load, file) pairs that came after it.
+
+    None if the build cannot be continued: there is none, a file in it was loaded anew, or its rules
+    were others.  Like every look at the ledger this takes one short row per source file.
+    """
+    build = current_builds(spark, layout).get(table)
+    if build is None:
+        return None
+    noted = read_ledger(spark, layout, "build_sources", SOURCES_DDL).where((F.col("table") == table) & (F.col("build_id") == build.build_id))
+    held = {(row.load_id, row[SOURCE_FILE]): row.rules for row in noted.collect()}
+    current = {(row.load_id, row[SOURCE_FILE]) for row in current_loads(spark, layout, table).select("load_id", SOURCE_FILE).collect()}
+    if not held or set(held) - current or set(held.values()) != {rules}:
+        return None
+    return build, sorted(current - set(held))
+
+
+def scan_arrivals(spark: SparkSession, layout: Layout, table: str, new: list[tuple[str, str]]) -> DataFrame:
+    """The rows of some (load, file) pairs: only their folders are opened."""
+    rows = read_load(spark, layout, table, sorted({load for load, _ in new}))
+    files: dict[str, list[str]] = {}
+    for load, file in new:
+        files.setdefault(load, []).append(file)
+    wanted = F.lit(False)
+    for load, names in files.items():
+        wanted = wanted | ((F.col("_load") == load) & F.col(SOURCE_FILE).isin(names))
+    return rows.where(wanted).select(*BRONZE[table].schema.names)
+
+
 def publish(spark: SparkSession, layout: Layout, build: Build) -> str:
     """Make a checked build the current version of its table."""
     year_of = silver_partition(build.table)

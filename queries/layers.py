@@ -5,7 +5,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from chartmill.config import CleaningRules, Expectation, Layout
-from chartmill.operators import quality
+from chartmill.operators import dedup, quality
 from chartmill.plans import bronze, silver, verify
 from chartmill.schemas import BRONZE
 from chartmill.session import scratch_dir
@@ -43,6 +43,31 @@ def run_layer(read, spark):
         return store.scan_silver(spark, layout, LABS).drop(silver.BUILD_STAMP, "collection_year")
 
 
+@query("update_layer", _counted_sql(LABS, *_SIMPLE[LABS]))
+def update_layer(read, spark):
+    """Files arriving one after the other: each time only the new one is read and its counts are added."""
+    layout = Layout(scratch_dir(spark, "update"))
+    with borrowed_catalog(spark, layout, LABS):
+        store.ensure_namespaces(spark, layout)
+        pattern = export(read, spark, layout, files=3)
+        for name, path in bronze.pending_parts(spark, layout, LABS, pattern):
+            bronze.load_parts(spark, layout, LABS, [(name, path)])
+            silver.update(spark, layout, LABS)
+        return store.scan_silver(spark, layout, LABS).drop(silver.BUILD_STAMP, "collection_year")
+
+
+@query("merge_counts", """
+    SELECT l_suppkey, array_to_string(list_sort(array_agg(DISTINCT l_returnflag)), ',') AS flags, count(DISTINCT l_returnflag) > 1 AS several,
+           count(*) AS n_occurrences
+    FROM lineitem GROUP BY l_suppkey""")
+def merge_counts(read, spark):
+    """Lists and counts of two halves of the lines, collapsed apart, against those of the whole."""
+    lines = read("lineitem")
+    halves = [dedup.collapse_collect(lines.where(F.col("l_orderkey") % 2 == k), ["l_suppkey"], "l_returnflag", "flags", "several") for k in (0, 1)]
+    merged = dedup.merge_counts(*halves, ["l_suppkey"], [("flags", "several")])
+    return merged.withColumn("flags", F.array_join("flags", ","))
+
+
 @query("stamp_build_time", f"SELECT count(*) AS n_rows, count(*) AS n_stamped, 1 AS n_stamps FROM ({_counted_sql(LABS, *_SIMPLE[LABS])})")
 def stamp_build_time(read, spark):
     """Every row of a build carries the one moment it was built."""

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartmill.config import CleaningRules, Expectation, Layout
-from chartmill.operators import quality
+from chartmill.operators import dedup, quality
 from chartmill.plans import audit, bronze, explore, silver, verify
 from chartmill.schemas import BRONZE, silver_schema
 from chartmill.sources import scans, store, text
@@ -317,6 +317,46 @@ def test_verify_fails_on_an_incomplete_load(spark, tmp_path):
     assert verify.failed(verify.verify_layer(spark, layout, RULES, ("patient_labs",)))
 
 
+def silver_rows(spark, layout, table):
+    return sorted(map(str, store.scan_silver(spark, layout, table).drop(silver.BUILD_STAMP).collect()))
+
+
+def test_an_update_reads_new_loads_only_and_equals_a_rebuild(spark, tmp_path, monkeypatch):
+    layout, source = labs_lake(tmp_path, lab("a") + lab("b") * 2, lab("c"))
+    bronze.ingest(spark, layout, "patient_labs", source, RULES)
+    store.ensure_namespaces(spark, layout)
+    read, built = [], []
+    arrivals, full = store.scan_arrivals, silver.build
+    monkeypatch.setattr(store, "scan_arrivals", lambda *args: read.append(args[3]) or arrivals(*args))
+    monkeypatch.setattr(silver, "build", lambda *args: built.append(args[2]) or full(*args))
+    first = silver.update(spark, layout, "patient_labs", RULES)
+    assert built == ["patient_labs"] and silver.update(spark, layout, "patient_labs", RULES) == first
+    (tmp_path / "labs" / "part2.csv").write_text(LABS + lab("b") + lab("d") + lab("a") * 3)
+    bronze.ingest(spark, layout, "patient_labs", source, RULES)
+    silver.update(spark, layout, "patient_labs", RULES)
+    assert built == ["patient_labs"] and [[file for _, file in new] for new in read] == [["part2.csv"]]
+    counts = {row.LOG_ID: row.n_occurrences for row in store.scan_silver(spark, layout, "patient_labs").collect()}
+    assert counts == {"a": 4, "b": 3, "c": 1, "d": 1}
+    updated = silver_rows(spark, layout, "patient_labs")
+    full(spark, layout, "patient_labs", RULES)
+    assert silver_rows(spark, layout, "patient_labs") == updated
+    # Other rules, or a file loaded anew, make a full build.
+    silver.update(spark, layout, "patient_labs", CleaningRules(phantom_rows=(("x", "y"),)))
+    assert len(built) == 2
+    path = tmp_path / "labs" / "part2.csv"
+    bronze.load_parts(spark, layout, "patient_labs", [("part2.csv", str(path))], RULES)
+    silver.update(spark, layout, "patient_labs", CleaningRules(phantom_rows=(("x", "y"),)))
+    assert len(built) == 3 and silver_rows(spark, layout, "patient_labs") == updated
+
+
+def test_merged_lists_equal_collapsed_ones(spark):
+    rows = [(k, v) for k in range(6) for v in ["p", "q", None, "r", "p"][: k]]
+    halves = [spark.createDataFrame(rows[i::2], "k int, v string") for i in (0, 1)]
+    parts = [dedup.collapse_collect(half, ["k"], "v", "vs", "several") for half in halves]
+    whole = dedup.collapse_collect(spark.createDataFrame(rows, "k int, v string"), ["k"], "v", "vs", "several")
+    assert sorted(dedup.merge_counts(*parts, ["k"], [("vs", "several")]).collect()) == sorted(whole.collect())
+
+
 def test_incremental_parts(spark, tmp_path):
     source = clinical.write(str(tmp_path / "csv"))
     layout = Layout(str(tmp_path / "warehouse"))
@@ -332,6 +372,18 @@ def test_incremental_parts(spark, tmp_path):
             shutil.copy(f"{source}/flowsheets_cleaned/{name}", folder)
 
 
+def test_arrivals_reach_silver(spark, tmp_path):
+    layout, source = labs_lake(tmp_path, lab("a") + lab("b"))
+    store.ensure_namespaces(spark, layout)
+    for extra in ("", lab("b") + lab("c")):
+        if extra:
+            (tmp_path / "labs" / "later.csv").write_text(LABS + extra)
+        query = incremental_parts(spark, layout, "patient_labs", str(tmp_path / "labs"), "*.csv", str(tmp_path / "state"), RULES, update_silver=True)
+        query.awaitTermination()
+        assert query.exception() is None
+    assert {row.LOG_ID: row.n_occurrences for row in store.scan_silver(spark, layout, "patient_labs").collect()} == {"a": 1, "b": 2, "c": 1}
+
+
 def test_required_column_must_be_set(spark):
     raw = spark.createDataFrame([(None, "250", "x")], "mrn string, diagnosis_code string, dx_name string")
     with pytest.raises(Exception, match="required column mrn is null"):
