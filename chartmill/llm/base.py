@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import ctypes
+import functools
+import inspect
 import os
 from collections.abc import Callable
 
@@ -40,6 +42,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def shielded(*reads: str, adds: tuple[str, ...] = ()) -> Callable:
+    """Decorate an operator on ``docs`` so that columns it does not read may be called anything.
+
+    ``reads`` and ``adds`` name the parameters that hold the names of columns it reads and adds, or such
+    columns themselves.  All other columns are out of the way under names no operator uses while it
+    runs; one that is called like an added column is replaced by that.
+    """
+
+    def wrap(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        signature = inspect.signature(operator)
+
+        @functools.wraps(operator)
+        def run(*args, **options) -> DataFrame:
+            bound = signature.bind(*args, **options)
+            bound.apply_defaults()
+            first = next(iter(signature.parameters))
+            docs = bound.arguments[first]
+
+            def columns(parameters: tuple[str, ...]) -> set[str]:
+                values = [bound.arguments[p] if p in signature.parameters else p for p in parameters]
+                return {name for v in values for name in ([v] if isinstance(v, str) else v or ())}
+
+            others = [c for c in docs.columns if c not in columns(reads)]
+            replaced = [c for c in others if c in columns(adds)]
+            mark = "other"
+            while any(c.startswith(mark) for c in docs.columns):
+                mark += "_"
+            away = {c: f"{mark}{i}" for i, c in enumerate(others) if c not in replaced}
+            bound.arguments[first] = docs.drop(*replaced).withColumnsRenamed(away)
+            return operator(*bound.args, **bound.kwargs).withColumnsRenamed({new: old for old, new in away.items()})
+
+        return run
+
+    return wrap
+
+
 def give_back() -> None:
     """Hand freed memory back to the system at the end of a task: its Python worker lives on beside others."""
     pa.default_memory_pool().release_unused()

@@ -26,6 +26,8 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from chartmill.llm.base import shielded
+
 SIGMA = 1.0
 RADIUS = 3
 KERNEL = [exp(-((k / SIGMA) ** 2) / 2) for k in range(-RADIUS, RADIUS + 1)]
@@ -254,6 +256,7 @@ def link_lists(alone: list[bool]) -> list[bool]:
     return out
 
 
+@shielded("html", adds=("out",))
 def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
     """Add ``out``, the main text of ``html``.  All other columns pass unchanged."""
 

@@ -18,6 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from chartmill.llm.base import shielded
+
 UNDETERMINED = "und"
 PROFILE = 400
 # Learned from per language; up to a thousand, tasks keep their own best rows before any is sent on.
@@ -113,6 +115,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_docs:
     return Profiles(languages, codes, ranks, size)
 
 
+@shielded("text", adds=("out",))
 def predict(docs: DataFrame, profiles: Profiles, text: str = "text", out: str = "language") -> DataFrame:
     """Add ``out``: a struct of ``lang`` and ``score``, 1 for the language's own order, 0 for nothing shared.
 

@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from chartmill.llm.base import shielded
+
 LEAST_COSINE = 0.6
 MOSTLY = 0.5
 
@@ -103,6 +105,7 @@ def directory(path: Column) -> Column:
     return F.regexp_replace(path, r"/?[^/]*$", "")
 
 
+@shielded("path", "text", adds=("licence", "score", "origin", "origin_dir"))
 def detect(files: DataFrame, path: str = "path", text: str = "text", least: float = LEAST_COSINE) -> DataFrame:
     """Add licence, score, origin ("own", "inherited" or null) and origin_dir to ``files``.
 

@@ -19,7 +19,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from chartmill.llm.base import written
+from chartmill.llm.base import shielded, written
 
 BUCKET_ROWS = 20_000
 KEY_DIGITS = 12  # hexadecimal digits of the order key that buckets are made of
@@ -83,8 +83,20 @@ def mix(
 
     The budget is ``share`` of all tokens of ``docs``.  No document is taken more than ``max_epochs`` times.
     """
+    size = "_size"
+    while size in docs.columns:
+        size += "_"
+    sized = docs.withColumn(size, tokens if tokens is not None else words(text))
+    return _mix(sized, list(levels), weights, share, max_epochs, seed, text, list(ids), size, epoch, bucket_rows).drop(size)
+
+
+@shielded("levels", "text", "ids", "size", adds=("epoch",))
+def _mix(
+    docs: DataFrame, levels: Sequence[str], weights: Mapping[str, Mapping[str, float]], share: float, max_epochs: int, seed: int,
+    text: str, ids: Sequence[str], size: str, epoch: str, bucket_rows: int,
+) -> DataFrame:
     counted = docs.withColumn("_digest", F.md5(text)).withColumn("_leaf", _paths(levels)[-1])
-    slim = counted.withColumn("_tokens", tokens if tokens is not None else words(text))
+    slim = counted.withColumn("_tokens", F.col(size))
     slim = slim.select(*dict.fromkeys([*levels, *ids]), "_digest", "_tokens", "_leaf")
     leaves = slim.groupBy("_leaf", *levels).agg(F.sum("_tokens").alias("available"), F.count(F.lit(1)).alias("_n"))
     whole = leaves.agg((F.coalesce(F.sum("available"), F.lit(0)) * share).alias("_total"))
@@ -113,4 +125,6 @@ def mix(
     chosen = counted.join(stops, "_leaf").withColumn("_key", order_key(seed, F.col("_full"), ids, "_digest"))
     more = (F.col("_full") < max_epochs) & F.coalesce(F.col("_key") < F.col("_stop"), F.lit(True))
     times = F.col("_full") + more.cast("int")
-    return chosen.withColumn("_times", times).where("_times > 0").select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(0), F.col("_times") - 1)).alias(epoch))
+    return chosen.withColumn("_times", times).where("_times > 0").select(
+        *[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(0), F.col("_times") - 1)).alias(epoch)
+    )

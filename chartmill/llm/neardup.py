@@ -23,7 +23,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from chartmill.llm.base import written
+from chartmill.llm.base import shielded, written
 from chartmill.llm.graph import components
 from chartmill.llm.repeats import Hashes, _each_text, _mixed
 
@@ -261,6 +261,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lar
     )
 
 
+@shielded("doc_id", "text")
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", largest: int = UNIT, copies: int = HASHES // BAND) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the smallest id stays, one row of it."""
     base, member = groups(docs, doc_id, text, largest, copies)

@@ -25,7 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from chartmill.llm.base import written
+from chartmill.llm.base import shielded, written
 from chartmill.llm.suffixes import suffix_array
 
 LENGTH = 200
@@ -270,6 +270,7 @@ def ranges(docs: DataFrame, length: int, gram: int, sorted_pieces: int, largest:
     return whole.unionByName(edges).unionByName(counted)
 
 
+@shielded("text", "ids", adds=("kept", "spans"))
 def remove(
     docs: DataFrame, text: str = "text", ids: tuple[str, ...] = ("doc_id",), kept: str = "kept", spans: str = "removed",
     length: int = LENGTH, gram: int = GRAM, sorted_pieces: int = SORTED_PIECES, largest: int = LARGEST_LEADER,

@@ -20,7 +20,7 @@ from math import log2
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from chartmill.llm.base import written
+from chartmill.llm.base import shielded, written
 
 # The base patterns, in the order their kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -115,6 +115,7 @@ def link(parts: DataFrame, keys: list[str], scope: int = SCOPE) -> DataFrame:
     return reach.join(others, near, "left_semi").select(*keys, "kind", "start", "end").distinct()
 
 
+@shielded("text", adds=("out",))
 def find(docs: DataFrame, text: str = "text", out: str = "spans", keep_text: bool = True, scope: int = SCOPE) -> DataFrame:
     """Add ``out``: all reported spans of a text by start, then kind as listed in ``KINDS``.
 
@@ -139,6 +140,7 @@ def find(docs: DataFrame, text: str = "text", out: str = "spans", keep_text: boo
     return rows.withColumn(out, spans).drop("_key", "_base", "_weak", "_linked")
 
 
+@shielded("text")
 def redact(docs: DataFrame, text: str = "text", mask: str = "[secret]") -> DataFrame:
     """Replace every reported span but endpoints by ``mask``; overlapping spans are masked once."""
 

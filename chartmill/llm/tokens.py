@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from chartmill.llm.base import give_back
+from chartmill.llm.base import give_back, shielded
 
 # Bytes of words a task keeps; beyond it long ones, or all, are forgotten, which costs time and changes nothing.
 WORD_MEMORY = 48_000_000
@@ -267,6 +267,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = TOGETHER) -
                 texts, start, chars = [], i + 1, 0
 
 
+@shielded("text", adds=("out", "decoded"))
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
     """Add ``out``: the token ids of ``text``, packed as little-endian unsigned 32-bit integers.
 
