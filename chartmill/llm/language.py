@@ -25,6 +25,7 @@ PROFILE = 400
 # Learned from per language; up to a thousand, tasks keep their own best rows before any is sent on.
 TRAIN_DOCS = 1000
 _BITS = 21  # of a code point
+_BLANK = 1  # no letter, and not 0: an n-gram that begins with a blank is not the shorter one behind it
 
 _letters: np.ndarray | None = None
 
@@ -44,12 +45,12 @@ def ngrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     if not isinstance(text, str) or not text:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    points = np.where(_letter_table()[points], points, 0)
-    points = np.concatenate(([0], points, [0]))
-    points = points[(points > 0) | np.concatenate(([True], points[:-1] > 0))]  # runs of blanks become one
-    if not points.any():
+    points = np.where(_letter_table()[points], points, _BLANK)
+    points = np.concatenate(([_BLANK], points, [_BLANK]))
+    points = points[(points > _BLANK) | np.concatenate(([True], points[:-1] > _BLANK))]  # runs of blanks become one
+    if len(points) == 1:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    one = points[points > 0]
+    one = points[points > _BLANK]
     two = points[:-1] << _BITS | points[1:]
     three = points[:-2] << 2 * _BITS | two[1:]
     return np.unique(np.concatenate((one, two, three)), return_counts=True)
@@ -80,7 +81,9 @@ class Profiles:
         at = np.minimum(np.searchsorted(self.codes, own), len(self.codes) - 1)
         known = self.codes[at] == own
         places = np.nonzero(known)[0][:, None]
-        distance = np.abs(self.ranks[at[known]] - places).sum(0) + self.size * (len(own) - len(places))
+        listed = self.ranks[at[known]]
+        apart = np.where(listed < self.size, np.abs(listed - places), self.size)
+        distance = apart.sum(0) + self.size * (len(own) - len(places))
         best = int(distance.argmin())
         return self.languages[best], 1.0 - float(distance[best]) / (self.size * len(own))
 
@@ -92,19 +95,24 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", train_docs:
     holds at every input size.  Rows without text or language are left out.  What reaches the driver
     are ``size`` counts per language.
     """
+    hashed = F.xxhash64("_text").alias("_hash")
     rows = labelled.select(F.col(text).alias("_text"), F.col(lang).alias("_lang")).where("_text is not null and _lang is not null")
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_text"))
-    chosen = rows.withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= train_docs)
+    order = Window.partitionBy("_lang").orderBy("_hash")
+    # Hashes are ranked without their texts; each chosen text is then fetched once, with the number of its copies.
+    first = rows.select("_lang", hashed).withColumn("_place", F.row_number().over(order)).where(F.col("_place") <= train_docs)
+    wanted = first.groupBy("_lang", "_hash").agg(F.count(F.lit(1)).alias("_copies"))
+    chosen = rows.withColumn("_hash", hashed).join(wanted, ["_lang", "_hash"]).groupBy("_lang", "_hash", "_copies").agg(F.first("_text").alias("_text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for language, texts in batch.groupby("_lang")["_text"]:
-                parts = [ngrams(t) for t in texts]
+            for language, some in batch.groupby("_lang"):
+                parts = [ngrams(t) for t in some["_text"]]
+                weights = np.concatenate([n * times for (_, n), times in zip(parts, some["_copies"])])
                 codes, back = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-                counts = np.bincount(back, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
+                counts = np.bincount(back, weights, len(codes)).astype(np.int64)
                 yield pd.DataFrame({"lang": language, "code": codes, "n": counts})
 
-    spread = chosen.select("_lang", "_text").repartition(F.xxhash64("_text"))
+    spread = chosen.repartition("_hash").select("_lang", "_text", "_copies")
     sums = spread.mapInPandas(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     top = sums.withColumn("rank", place - 1).where(F.col("rank") < size).select("lang", "code", "rank").toPandas()
