@@ -1,14 +1,15 @@
 """Order-dependent steps over long timelines, cut into equal slices where needed.
 
 A window over one entity sorts all of its rows in one task, which is fine until one entity holds a
-large share of the rows.  Entities above a row limit are therefore cut into slices of about equal
-numbers of rows, at borders taken from a sample of their rows; a border is a whole order tuple, so
-rows of one instant, or without a time, are cut too.  A window runs within (entity, slice), each slice
-is reduced to one summary row, and what a slice needs from the others is computed over the summaries
-and joined back.  All other entities stay in one piece and have nothing to carry.
+large share of the rows.  All rows, in the order of (entity, order), are therefore cut into slices of
+about equal numbers of rows, at borders taken from a sample; a border is a whole tuple, so rows of one
+instant, or without a time, are cut too.  A window runs within (entity, slice).  Only an entity with a
+border among its rows lies in several slices: there each slice is reduced to one summary row, and what
+a slice needs from the others is computed over the summaries and joined back.  There are no more such
+entities than borders, and at most two summaries per border, so both stay small whatever the table.
 
 Rows without a time come last.  Rows without an entity form one timeline, as they form one partition
-of a window; like any other it is cut only if it is hot.
+of a window; like any other it is cut where a border falls.
 """
 
 from __future__ import annotations
@@ -24,12 +25,9 @@ from chartmill.operators.skew import HOT_KEY_ROWS, join_null_safe
 DAY = 24 * 3_600
 
 SLICE = "_slice"
-HOT = "_hot"
-# An entity is cut into so many slices at most, its borders being taken from so many sampled rows per slice.
+# The rows are cut into so many slices at most (a power of two), borders being taken from so many sampled rows per slice.
 MOST_SLICES = 4096
 PER_SLICE = 64
-# Borders are looked up in two steps: first among every so-manieth of them.
-STEP = 64
 
 
 def _ascending(order: Sequence[str]) -> list[Column]:
@@ -71,51 +69,68 @@ class Step:
 
 
 def _borders(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
-    """Per hot entity the order tuples at which slices begin, every ``STEP`` of them in an array of their own.
+    """The sorted (entity, order) tuples at which slices begin: one row with one array.
 
     The sample is chosen by a hash of the tuple, so a repeated task, and every use of the plan, finds the
     same borders.  Its size depends on the number of slices, not on the number of rows.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    slices = F.least(F.ceil(F.col("_n") / hot_rows), F.lit(MOST_SLICES)).cast("int")
-    hot = counts.select(*keys, slices.alias("_slices"), (slices * PER_SLICE / F.col("_n")).alias("_rate"))
-    chance = F.pmod(F.xxhash64(F.lit(11), *order), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = join_null_safe(df.select(*keys, *order), hot, keys, "inner").where(chance < F.col("_rate"))
-    sorted_ = sample.groupBy(*keys, "_slices").agg(F.sort_array(F.collect_list(_sort_key(order))).alias("_sample"))
+    n = F.count(F.lit(1))
+    slices = F.least(F.ceil(n / hot_rows), F.lit(MOST_SLICES)).cast("int")
+    rate = F.when(slices > 1, slices * PER_SLICE / n).otherwise(F.lit(0.0))
+    sizes = df.agg(F.struct(slices.alias("slices"), rate.alias("rate"))).scalar()
+    chance = F.pmod(F.xxhash64(F.lit(11), *keys, *order), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # Chosen inside the aggregate: the optimizer cannot compare filters that hold a subquery of a subquery.
+    chosen = F.when(chance < sizes["rate"], _sort_key([*keys, *order]))
+    sample = df.agg(F.sort_array(F.collect_list(chosen)).alias("_sample")).withColumn("_slices", sizes["slices"])
     picked = F.transform(
         F.sequence(F.lit(1), F.greatest(F.col("_slices") - 1, F.lit(1))),
         lambda i: F.get(F.col("_sample"), F.floor(i * F.size("_sample") / F.col("_slices")).cast("int")),
     )
-    flat = sorted_.select(*keys, F.array_distinct(picked).alias("_flat"))
-    chunks = F.transform(F.sequence(F.lit(1), F.size("_flat"), F.lit(STEP)), lambda at: F.slice(F.col("_flat"), at, F.lit(STEP)))
-    return flat.select(*keys, chunks.alias("_borders"))
+    flat = sample.select(F.array_compact(picked).alias("_flat"))
+    new = F.filter("_flat", lambda border, i: (i == 0) | (border > F.get(F.col("_flat"), i - 1)))
+    return flat.select(new.alias("_borders"))
 
 
-def _place(order: Sequence[str]) -> Column:
-    """The number of borders at or below a row."""
-    here = _sort_key(order)
-    chunk = F.size(F.filter("_borders", lambda borders: F.get(borders, F.lit(0)) <= here))
-    inside = F.size(F.filter(F.get("_borders", chunk - 1), lambda border: border <= here))
-    return F.when(chunk == 0, F.lit(0)).otherwise((chunk - 1) * STEP + inside)
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
+    """Number the slice of each row: the borders at or below it, by bisection.
+
+    The borders come as a scalar subquery, which the optimizer moves into the one place that asks for it: no
+    row carries them.
+    """
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(MOST_SLICES.bit_length() - 1))])
+    here = _sort_key([*keys, *order])
 
+    def step(at: Column, by: Column) -> Column:
+        return F.when(F.get(F.col("_borders"), at + by - 1) <= here, at + by).otherwise(at)
 
-def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame:
-    """Number the slice of each row: by the borders for hot entities, one slice for any other."""
-    cut = join_null_safe(df, _borders(df, keys, order, hot_rows), keys)
-    hot = F.col("_borders").isNotNull()
-    return cut.withColumns({HOT: hot, SLICE: F.when(hot, _place(order)).otherwise(F.lit(0))}).drop("_borders")
+    given = df.withColumn("_borders", _borders(df, keys, order, hot_rows).scalar())
+    return given.withColumn(SLICE, F.reduce(halves, F.lit(0), step)).drop("_borders")
+
+
+def _across(cut: DataFrame, borders: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of entities that lie in several slices, which are those with a border among their rows."""
+    # Outer, because the filter that Spark infers for a plain explode repeats the borders' expression in itself.
+    several = borders.select(F.explode_outer("_borders").alias("_border")).where(F.col("_border").isNotNull()).select(
+        *[F.col(f"_border.v{i}").alias(name) for i, name in enumerate(keys)]
+    ).distinct()
+    return join_null_safe(cut, F.broadcast(several), keys, "inner")
+
+
+def _join_carried(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What slices take over from others: at most two rows per border, sent to every task, so that no row moves."""
+    return join_null_safe(rows, F.broadcast(carried), [*keys, SLICE])
 
 
 def extend(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], steps: dict[str, Step], hot_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Add the given steps, all in one order, in one pass: one shuffle of the rows, and small ones for hot entities."""
+    """Add the given steps, all in one order, in one pass: one shuffle of the rows, and small ones of summaries."""
     keys = list(keys)
     cut = _cut(df, keys, order, hot_rows)
-    per_slice = cut.where(HOT).groupBy(*keys, SLICE).agg(*[step.summary.alias(f"_s_{name}") for name, step in steps.items()])
+    per_slice = _across(cut, _borders(df, keys, order, hot_rows), keys).groupBy(*keys, SLICE).agg(*[step.summary.alias(f"_s_{name}") for name, step in steps.items()])
     carried = per_slice.select(*keys, SLICE, *[step.across(f"_s_{name}").alias(f"_c_{name}") for name, step in steps.items()])
-    rows = cut.drop(HOT).withColumns({f"_w_{name}": step.within for name, step in steps.items()})
-    joined = join_null_safe(rows, carried, [*keys, SLICE])
+    rows = cut.withColumns({f"_w_{name}": step.within for name, step in steps.items()})
+    joined = _join_carried(rows, carried, keys)
     combined = {name: step.combine(F.col(f"_w_{name}"), F.col(f"_c_{name}")) for name, step in steps.items()}
     return joined.withColumns(combined).drop(SLICE, *[f"_w_{name}" for name in steps], *[f"_c_{name}" for name in steps])
 
@@ -232,7 +247,7 @@ def runs(df: DataFrame, keys: Sequence[str], label: str, order: Sequence[str], h
     changed = (~F.col(label).eqNullSafe(F.lag(label).over(within))).cast("bigint")
     stepped = cut.withColumn("_start", F.when(F.row_number().over(within) > 1, changed).otherwise(F.lit(0)))
     counted = stepped.withColumn("_inner", F.sum("_start").over(within.rowsBetween(Window.unboundedPreceding, 0)))
-    edges = counted.where(HOT).groupBy(*keys, SLICE).agg(
+    edges = _across(counted, _borders(df, keys, order, hot_rows), keys).groupBy(*keys, SLICE).agg(
         F.min_by(F.struct(label), _sort_key(order)).alias("_head"),
         F.max_by(F.struct(label), _sort_key(order)).alias("_tail"),
         F.max("_inner").alias("_starts"),
@@ -240,6 +255,6 @@ def runs(df: DataFrame, keys: Sequence[str], label: str, order: Sequence[str], h
     opens = (~F.col("_head").eqNullSafe(F.lag("_tail").over(_slices(keys)))).cast("bigint")
     before = F.coalesce(F.sum(F.col("_opens") + F.col("_starts")).over(_earlier(keys)), F.lit(0))
     carried = edges.withColumn("_opens", opens).select(*keys, SLICE, (before + F.col("_opens")).alias("_offset"))
-    joined = join_null_safe(counted, carried, [*keys, SLICE])
+    joined = _join_carried(counted, carried, keys)
     number = F.coalesce("_offset", F.lit(1).cast("bigint")) + F.col("_inner")
-    return joined.withColumn("run", number).drop(HOT, SLICE, "_start", "_inner", "_offset")
+    return joined.withColumn("run", number).drop(SLICE, "_start", "_inner", "_offset")

@@ -311,6 +311,13 @@ def test_slices_are_even_even_without_times(spark):
         assert len(sizes) == 12 and max(sizes) < 1000
 
 
+def test_rows_are_not_joined_with_borders(spark):
+    """A row is placed by looking borders up, not by meeting all borders of its entity in a join."""
+    df = spark.range(100).selectExpr("id % 2 AS e", "id")
+    plan = timeline._cut(df, ["e"], ["id"], 5)._jdf.queryExecution().optimizedPlan()
+    assert "Join" not in plan.toString() and "_borders" not in str(plan.output())
+
+
 def test_interval_join(spark):
     rng = random.Random(6)
     facts = [(i, rng.randrange(3), at(rng.randrange(5000))) for i in range(120)] + [(999, 0, None)]
