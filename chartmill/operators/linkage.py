@@ -82,10 +82,11 @@ def subset_copy(facts: DataFrame, pairs: DataFrame, entity: str, fact: Sequence[
     )
 
 
-def magnitude_bucket(number: Column, digits: Column) -> Column:
-    """A whole number's digits as ``<mantissa of so many digits>e<exponent>``, rounded half up.
+def magnitude_buckets(number: Column, digits: Column) -> Column:
+    """A whole number's digits as ``<mantissa of so many digits>e<exponent>``, rounded half up, in every way it is written.
 
-    Worked out on the text, so that ids beyond the precision of a double keep every digit.
+    Worked out on the text, so that ids beyond the precision of a double keep every digit.  Where rounding
+    carries into a new digit, some writers move the exponent (9996 is 1.00E+04) and some do not (10.00E+03).
     """
     text = F.regexp_replace(number, "^0+", "")
     kept = F.rpad(F.substring(text, F.lit(1), digits), digits, F.lit("0")).cast("decimal(38,0)")
@@ -93,7 +94,8 @@ def magnitude_bucket(number: Column, digits: Column) -> Column:
     mantissa = F.when(upwards, kept + 1).otherwise(kept).cast("string")
     carried = F.length(mantissa) > digits
     exponent = F.length(text) - F.when(carried, 0).otherwise(1)
-    return F.when(text != "", F.concat_ws("e", F.substring(mantissa, F.lit(1), digits), exponent.cast("string")))
+    moved = F.when(text != "", F.concat_ws("e", F.substring(mantissa, F.lit(1), digits), exponent.cast("string")))
+    return F.when(carried, F.array(moved, F.concat_ws("e", mantissa, (exponent - 1).cast("string")))).otherwise(F.array(moved))
 
 
 def mangled_bucket(text: Column) -> Column:
@@ -103,6 +105,12 @@ def mangled_bucket(text: Column) -> Column:
     return F.concat_ws("e", mantissa, exponent.cast("string"))
 
 
+def mangled_digits(text: Column) -> Column:
+    """To how many digits a mangled id was rounded: in ``10.00E+07`` the first two are one that carried."""
+    shown = F.length(F.split(mangled_bucket(text), "e")[0])
+    return F.when(text.rlike(r"^10\.?0*[Ee]"), shown - 1).otherwise(shown)
+
+
 def repair_ids(df: DataFrame, column: str, lookup: DataFrame, full_id: str) -> DataFrame:
     """Replace ids mangled into scientific notation by full decimal ids, only where one full id fits.
 
@@ -111,18 +119,17 @@ def repair_ids(df: DataFrame, column: str, lookup: DataFrame, full_id: str) -> D
     """
     full = lookup.where(F.col(full_id).rlike(r"^[0-9]+$")).select(F.col(full_id).alias("_id")).distinct()
     damaged = F.coalesce(flag_pattern(F.col(column)), F.lit(False))
-    shown = F.length(F.split(mangled_bucket(F.col(column)), "e")[0])
-    in_use = df.where(damaged).agg(F.collect_set(shown).alias("_in_use")).scalar()
+    in_use = df.where(damaged).agg(F.collect_set(mangled_digits(F.col(column))).alias("_in_use")).scalar()
     rendered = full.withColumn("_digits", F.explode(in_use))
     unique = (
-        rendered.withColumn("_bucket", magnitude_bucket(F.col("_id"), F.col("_digits")))
+        rendered.withColumn("_bucket", F.explode(magnitude_buckets(F.col("_id"), F.col("_digits"))))
         .withColumn("_bucket", F.concat_ws(":", F.col("_digits").cast("string"), "_bucket"))
         .groupBy("_bucket")
         .agg(F.count(F.lit(1)).alias("_candidates"), F.min("_id").alias("_full"))
     )
     bucket = mangled_bucket(F.col(column))
     mangled = df.where(damaged).select(column).distinct().withColumn(
-        "_bucket", F.concat_ws(":", F.length(F.split(bucket, "e")[0]).cast("string"), bucket)
+        "_bucket", F.concat_ws(":", mangled_digits(F.col(column)).cast("string"), bucket)
     )
     fixes = mangled.join(unique, "_bucket", "left").select(
         column, "_full", F.coalesce("_candidates", F.lit(0)).alias("_candidates")

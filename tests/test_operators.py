@@ -558,6 +558,17 @@ def test_long_ids_are_repaired_by_their_digits(spark):
     assert got == {"9.007199254740993E+16": "90071992547409931", "9.0071992547409949E+16": "90071992547409949", "1.2E+01": "0012", "1.200E+01": "0012"}
 
 
+def test_ids_rounded_up_to_ten(spark):
+    """The mantissa carries but the exponent stays; ids of the next magnitude are not meant."""
+    full = spark.createDataFrame([("99960000",), ("10000003",), ("100000003",), ("9999",)], "id string")
+    damaged = spark.createDataFrame([("10.00E+07",), ("1.00E+08",), ("1.00E+07",), ("10.00E+03",), ("10.00E+05",)], "m string")
+    got = {r.m: (r.repaired_id, r.repair_status) for r in linkage.repair_ids(damaged, "m", full, "id").collect()}
+    assert got == {
+        "10.00E+07": ("99960000", "repaired"), "1.00E+08": (None, "ambiguous"), "1.00E+07": ("10000003", "repaired"),
+        "10.00E+03": ("9999", "repaired"), "10.00E+05": (None, "unmatched"),
+    }
+
+
 def test_split_keeps_entities_together(spark):
     df = spark.range(2000).select((F.col("id") % 100).alias("e"), "id")
     sides = linkage.grouped_split(df, "e", 30, F.col("e") == 7)
