@@ -249,14 +249,21 @@ def apart(prefix: str, n: int) -> Column:
     return reduce(lambda a, b: a | b, pairs)
 
 
-def differs(column: str) -> Column:
+# Types of fixed width and total order: the extremes of their values are as short as those of a hash, and pack better.
+FIXED_WIDTH = frozenset(("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz"))
+
+
+def differs(column: str, kind: str = "") -> Column:
     """Aggregate: does the group hold more than one value, null counting as a value?
 
     Compares the smallest and the largest of two 64-bit hashes instead of counting distinct values: the
-    state is constant and of fixed width, so groups are aggregated by hash, whatever the type.
+    state is constant and of fixed width, so groups are aggregated by hash, whatever the type.  Values of
+    a ``kind`` that is itself of fixed width are compared as they are.
     """
     value = F.col(column)
     mixed_nulls = (F.count(value) > 0) & (F.count(value) < F.count(F.lit(1)))
+    if kind in FIXED_WIDTH:
+        return mixed_nulls | F.coalesce(F.min(value) != F.max(value), F.lit(False))
     hashes = [F.when(value.isNotNull(), F.xxhash64(*seed, value)) for seed in ((), (F.lit(1),))]
     unlike = [F.coalesce(F.min(h) != F.max(h), F.lit(False)) for h in hashes]
     return mixed_nulls | unlike[0] | unlike[1]

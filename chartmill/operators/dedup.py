@@ -135,8 +135,9 @@ def duplicate_audit(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def key_divergence(df: DataFrame, narrow: Sequence[str], ignored: Sequence[str]) -> DataFrame:
     """Would a narrow key merge rows that differ?  One row per ignored column and one for any of them."""
     flags = {name: F.max(F.col(f"_{name}").cast("int")) for name in ignored}
+    kinds = dict(df.dtypes)
     groups = df.groupBy(*narrow).agg(
-        F.count(F.lit(1)).alias("_n"), *[differs(name).alias(f"_{name}") for name in ignored]
+        F.count(F.lit(1)).alias("_n"), *[differs(name, kinds[name]).alias(f"_{name}") for name in ignored]
     ).where("_n > 1")
     any_of = F.greatest(*[F.col(f"_{name}") for name in ignored]) if len(flags) > 1 else F.col(f"_{ignored[0]}")
     totals = groups.agg(
