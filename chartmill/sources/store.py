@@ -108,9 +108,9 @@ def with_year(df: DataFrame, year_of: tuple[str, str] | None) -> DataFrame:
     return df.withColumn(name, F.year(ts))
 
 
-def rebalanced(df: DataFrame, year_of: tuple[str, str] | None) -> DataFrame:
-    """Rows of a year meet in tasks of even size, so the files of a folder do not grow with the tasks."""
-    return df if year_of is None else df.hint("rebalance", F.col(year_of[1]))
+def rebalanced(df: DataFrame, year_of: tuple[str, str] | None, *folders: str) -> DataFrame:
+    """Rows of a year, and of further folders, meet in tasks of even size, so the files of a folder do not grow with the tasks."""
+    return df if year_of is None else df.hint("rebalance", *folders, F.col(year_of[1]))
 
 
 # --- bronze -------------------------------------------------------------------------------------
@@ -121,7 +121,7 @@ def write_load(df: DataFrame, layout: Layout, table: str, load_id: str) -> str:
     year_of = BRONZE[table].year_of
     folders = [SOURCE_FILE] + ([year_of[1]] if year_of else [])
     path = f"{layout.table('bronze', table)}/_load={load_id}"
-    rebalanced(with_year(df, year_of), year_of).write.mode("errorifexists").partitionBy(*folders).parquet(path)
+    rebalanced(with_year(df, year_of), year_of, SOURCE_FILE).write.mode("errorifexists").partitionBy(*folders).parquet(path)
     return path
 
 

@@ -18,12 +18,19 @@ LABS = "patient_labs"
 _LABS_SQL = f"SELECT * FROM ({_oracle_bronze(LABS)})"
 
 
-def export(read, spark, layout, files=4):
-    """The rows as ``part0.csv`` .. in one folder; returns the pattern that names them."""
+def dealt(rows, files, exactly):
+    """Rows in so many parts, or more unless ``exactly``: those of the scan, so that no row moves, if these are enough."""
+    parts = rows.coalesce(files) if exactly else rows
+    used = parts.select(F.spark_partition_id().alias("part")).distinct().count()
+    return parts if used >= files else rows.repartition(files)
+
+
+def export(read, spark, layout, files=4, exactly=False):
+    """The rows as CSV files in one folder, so many at least; returns the pattern that names them."""
     back = {new: old for old, new in BRONZE[LABS].rename.items()}
     rows = bronze_rows(read, spark, LABS).withColumnsRenamed(back)
     folder = f"{layout.root}/csv"
-    rows.repartition(files).write.option("header", True).option("escape", '"').csv(folder)
+    dealt(rows, files, exactly).write.option("header", True).option("escape", '"').csv(folder)
     return f"{folder}/*.csv"
 
 
@@ -45,13 +52,14 @@ def run_layer(read, spark):
 
 @query("update_layer", _counted_sql(LABS, *_SIMPLE[LABS]))
 def update_layer(read, spark):
-    """Files arriving one after the other: each time only the new one is read and its counts are added."""
+    """Files arriving in three lots: each time only the new ones are read and their counts are added."""
     layout = Layout(scratch_dir(spark, "update"))
     with borrowed_catalog(spark, layout, LABS):
         store.ensure_namespaces(spark, layout)
         pattern = export(read, spark, layout, files=3)
-        for name, path in bronze.pending_parts(spark, layout, LABS, pattern):
-            bronze.load_parts(spark, layout, LABS, [(name, path)])
+        waiting = bronze.pending_parts(spark, layout, LABS, pattern)
+        for lot in range(3):
+            bronze.load_parts(spark, layout, LABS, waiting[lot::3])
             silver.update(spark, layout, LABS)
         return store.scan_silver(spark, layout, LABS).drop(silver.BUILD_STAMP, "collection_year")
 
@@ -113,7 +121,7 @@ def layout_by_year(read, spark):
 
 @query("reconcile_source", f"SELECT count(*) AS source_rows, count(*) AS ingested_rows, count(*) AS table_rows, true AS matches FROM ({_LABS_SQL})")
 def reconcile_source(read, spark):
-    """Rows now in bronze against what the ledger noted while loading four files."""
+    """Rows now in bronze against what the ledger noted while loading four files or more."""
     layout = Layout(scratch_dir(spark, "reconcile"))
     bronze.ingest(spark, layout, LABS, export(read, spark, layout))
     per_file = quality.reconcile_source(store.scan_bronze(spark, layout, LABS), store.current_loads(spark, layout, LABS))
@@ -150,7 +158,7 @@ def ingest_multiline(read, spark):
 @query("part_stats", "SELECT count(*) AS n_rows, 4 AS n_files, true AS sized FROM lineitem")
 def part_stats(read, spark):
     layout = Layout(scratch_dir(spark, "parts"))
-    stats = text.part_stats(spark, export(read, spark, layout), multi_line=False)
+    stats = text.part_stats(spark, export(read, spark, layout, exactly=True), multi_line=False)
     return stats.agg(F.sum("rows").alias("n_rows"), F.count(F.lit(1)).cast("int").alias("n_files"), F.bool_and(F.col("bytes") > 0).alias("sized"))
 
 
@@ -158,7 +166,7 @@ def part_stats(read, spark):
 def incremental_arrivals(read, spark):
     """Parts found by a stream; a second run finds nothing new."""
     layout = Layout(scratch_dir(spark, "arrivals"))
-    export(read, spark, layout)
+    export(read, spark, layout, exactly=True)
     files = []
     for _ in range(2):
         run = incremental_parts(spark, layout, LABS, f"{layout.root}/csv", "*.csv", f"{layout.root}/state")
