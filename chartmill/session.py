@@ -20,10 +20,18 @@ SETTINGS = {
 }
 
 
+# A split of a compressed file unfolds many times over, and where rows hardly combine, the hash table of an
+# aggregation holds all of them; so splits stay small whatever the table.
+SPLIT = "spark.sql.files.maxPartitionBytes"
+LARGEST_SPLIT = 16 << 20
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to an existing session."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(SPLIT)) > LARGEST_SPLIT:
+        spark.conf.set(SPLIT, str(LARGEST_SPLIT))
     return spark
 
 

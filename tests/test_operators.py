@@ -12,9 +12,11 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from chartmill import session
 from chartmill.functions import columns as C
 from chartmill.operators import aggregate, clean, dedup, events, gold, linkage, quality, running, skew, timeline
 from chartmill.sources import scans
+from queries import layers
 
 T0 = dt.datetime(2020, 1, 1)
 
@@ -318,6 +320,32 @@ def test_rows_are_not_joined_with_borders(spark):
     assert "Join" not in plan.toString() and "_borders" not in str(plan.output())
 
 
+def test_divergence_of_fixed_width_columns_needs_no_hashes(spark):
+    rows = [(1, 0.0, 1), (1, -0.0, None), (2, float("nan"), 4), (2, float("nan"), 4), (3, 1.0, 5), (3, 2.0, 5), (4, None, 6), (4, 1.0, 6), (5, 9.0, 9)]
+    found = dedup.key_divergence(spark.createDataFrame(rows, "k int, x double, m long"), ["k"], ["x", "m"])
+    assert {r.column: (r.diverging_groups, r.groups) for r in found.collect()} == {"x": (2, 4), "m": (1, 4), "any": (3, 4)}
+    assert "xxhash64" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_splits_stay_small(spark):
+    name, before = session.SPLIT, spark.conf.get(session.SPLIT)
+    try:
+        for given, kept in (("128m", str(16 << 20)), ("1m", "1m")):
+            spark.conf.set(name, given)
+            session.configure(spark)
+            assert spark.conf.get(name) == kept
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_export_moves_no_row_where_the_scan_has_parts_enough(spark):
+    many, few = spark.range(0, 100, 1, 9), spark.range(0, 100, 1, 1)
+    for rows, exactly, parts in ((many, True, 4), (many, False, 9), (few, True, 4), (few, False, 4)):
+        out = layers.dealt(rows, 4, exactly)
+        assert out.rdd.getNumPartitions() == parts
+        assert ("Repartition 4, true" in out._jdf.queryExecution().optimizedPlan().toString()) == (rows is few)
+
+
 def test_interval_join(spark):
     rng = random.Random(6)
     facts = [(i, rng.randrange(3), at(rng.randrange(5000))) for i in range(120)] + [(999, 0, None)]
