@@ -58,8 +58,8 @@ def update_layer(read, spark):
         store.ensure_namespaces(spark, layout)
         pattern = export(read, spark, layout, files=3)
         waiting = bronze.pending_parts(spark, layout, LABS, pattern)
-        for lot in range(3):
-            bronze.load_parts(spark, layout, LABS, waiting[lot::3])
+        for lot in filter(None, (waiting[k::3] for k in range(3))):
+            bronze.load_parts(spark, layout, LABS, lot)
             silver.update(spark, layout, LABS)
         return store.scan_silver(spark, layout, LABS).drop(silver.BUILD_STAMP, "collection_year")
 
